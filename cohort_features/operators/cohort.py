@@ -41,13 +41,22 @@ def code_counts(
     )
 
 
-def collect_codes(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """Sorted list of a key's non-NULL values (A3).
+def collect_codes(
+    df: DataFrame, key: str, value: str, codes_out: str = "codes", counts_out: str = "counts"
+) -> DataFrame:
+    """Each key's non-NULL values as a sorted multiset (A3): the distinct
+    values in ``codes_out`` and how often each occurs in ``counts_out``.
 
-    Offered for parity; a list per key is bounded only by the key's row count,
-    so prefer ``code_counts``-style aggregates on skewed data.
+    The rows are first counted per (key, value) with map-side combining, so
+    what is gathered per key is bounded by the value vocabulary, not by the
+    key's row count: a key holding a third of the table still yields one
+    short list.
     """
-    return df.groupBy(key).agg(F.array_sort(F.collect_list(value)).alias(out))
+    cells = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    pairs = cells.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(value).alias("v"), F.col("_n").alias("n")))).alias("_p")
+    )
+    return pairs.select(key, F.col("_p.v").alias(codes_out), F.col("_p.n").alias(counts_out))
 
 
 def subject_table(

@@ -73,7 +73,7 @@ def code_sql(partkey: str, linenumber: str) -> str:
     )
 
 
-COUNT_COLS = ", ".join(f"count_if(g = {i}) AS icd9_g{i}" for i in range(1, N_CODE_GROUPS + 1))
+COUNT_COLS = ", ".join(f"CAST(count_if(g = {i}) AS BIGINT) AS icd9_g{i}" for i in range(1, N_CODE_GROUPS + 1))
 COUNT_NAMES = ", ".join(f"icd9_g{i}" for i in range(1, N_CODE_GROUPS + 1))
 
 # Clinical roles over the driver tables (mirror of plans.driver).
@@ -117,8 +117,7 @@ def _component(name: str, items, value: str) -> str:
 
 NUM = "TRY_CAST(value AS DOUBLE)"
 
-STAY_FEATURES = f"""
-WITH {ROLE_CTES},
+MEASURE_CTES = f"""
 ch AS (
   SELECT subject_id,
     {_component('temp_f', ['click'], f_to_c_sql('valuenum'))},
@@ -163,29 +162,342 @@ m AS (
   SELECT subject_id, {round2('temp_raw')} AS avg_temp, avg_heart_rate, avg_bp, avg_coma_scale,
     avg_urine_output, avg_nitrogen, avg_wbc, avg_bico, avg_sodium, avg_potassium, avg_bilirubin,
     {round2('po2 / NULLIF(fio2, 0)')} AS pf_ratio
-  FROM m0)
+  FROM m0),
+mc AS (
+  SELECT * FROM m
+  WHERE avg_temp IS NOT NULL AND avg_heart_rate IS NOT NULL AND avg_bp IS NOT NULL
+    AND avg_coma_scale IS NOT NULL AND avg_urine_output IS NOT NULL AND avg_nitrogen IS NOT NULL
+    AND avg_wbc IS NOT NULL AND avg_bico IS NOT NULL AND avg_sodium IS NOT NULL
+    AND avg_potassium IS NOT NULL AND avg_bilirubin IS NOT NULL AND pf_ratio IS NOT NULL)
+"""
+
+AGE_SQL = """CAST(CASE WHEN age > 86 THEN 87 ELSE age END AS INTEGER)"""
+AGE_LATERAL = """LATERAL (SELECT year(a.admittime) - year(p.dob)
+   - CAST(month(a.admittime) * 100 + day(a.admittime) < month(p.dob) * 100 + day(p.dob) AS INTEGER) AS age)"""
+GENDER_SQL = "CAST(CASE WHEN p.gender = 'M' THEN 0 ELSE 1 END AS INTEGER)"
+
+STAY_FEATURES = f"""
+WITH {ROLE_CTES}, {MEASURE_CTES}
 SELECT a.subject_id, a.hadm_id, m.avg_temp, m.avg_heart_rate, m.avg_bp, m.avg_coma_scale,
   m.avg_urine_output, m.avg_nitrogen, m.avg_wbc, m.avg_bico, m.avg_sodium, m.avg_potassium,
-  m.avg_bilirubin, m.pf_ratio,
-  CAST(CASE WHEN p.gender = 'M' THEN 0 ELSE 1 END AS INTEGER) AS gender,
-  s.los,
-  CAST(CASE WHEN age > 86 THEN 87 ELSE age END AS INTEGER) AS age,
-  CAST(a.hospital_expire_flag AS INTEGER) AS expire_flag,
-  {COUNT_NAMES}
+  m.avg_bilirubin, m.pf_ratio, {GENDER_SQL} AS gender, s.los, {AGE_SQL} AS age,
+  CAST(a.hospital_expire_flag AS INTEGER) AS expire_flag, {COUNT_NAMES}
 FROM adm a
 JOIN stays s ON a.hadm_id = s.hadm_id
 JOIN pats p ON a.subject_id = p.subject_id
 JOIN counts c ON a.subject_id = c.subject_id
-JOIN m ON a.subject_id = m.subject_id,
-LATERAL (SELECT year(a.admittime) - year(p.dob)
-   - CAST(month(a.admittime) * 100 + day(a.admittime) < month(p.dob) * 100 + day(p.dob) AS INTEGER) AS age)
-WHERE m.avg_temp IS NOT NULL AND m.avg_heart_rate IS NOT NULL AND m.avg_bp IS NOT NULL
-  AND m.avg_coma_scale IS NOT NULL AND m.avg_urine_output IS NOT NULL AND m.avg_nitrogen IS NOT NULL
-  AND m.avg_wbc IS NOT NULL AND m.avg_bico IS NOT NULL AND m.avg_sodium IS NOT NULL
-  AND m.avg_potassium IS NOT NULL AND m.avg_bilirubin IS NOT NULL AND m.pf_ratio IS NOT NULL
-  AND s.los IS NOT NULL AND a.admittime IS NOT NULL AND p.dob IS NOT NULL
+JOIN mc m ON a.subject_id = m.subject_id,
+{AGE_LATERAL}
+WHERE s.los IS NOT NULL AND a.admittime IS NOT NULL AND p.dob IS NOT NULL
+"""
+
+SUBJECT_FEATURES = f"WITH {ROLE_CTES}, {MEASURE_CTES} SELECT * FROM mc"
+
+MULTI_MEASURE_SELECT = f"""
+ch AS (
+  SELECT subject_id,
+    {_component('temp_f', ['click'], f_to_c_sql('valuenum'))},
+    {_component('temp_c', ['view'], 'valuenum')},
+    {_component('hr', ['purchase'], 'valuenum')},
+    {_component('bp', ['signup'], 'valuenum')},
+    {_component('coma', ['error'], 'valuenum')},
+    {_component('fio0', ['signup'], NUM)},
+    {_component('fio1', ['click', 'error'], NUM + ' / 100')},
+    {_component('po2', ['purchase', 'view'], 'valuenum')}
+  FROM ev WHERE itemid IN ('click', 'view', 'purchase', 'signup', 'error')
+  GROUP BY subject_id),
+mm AS (
+  SELECT subject_id,
+    {round2(merge_sql(mean_sql('temp_f_s', 'temp_f_n'), mean_sql('temp_c_s', 'temp_c_n')))} AS avg_temp,
+    {rounded_mean_sql('hr_s', 'hr_n')} AS avg_heart_rate,
+    {rounded_mean_sql('bp_s', 'bp_n')} AS avg_bp,
+    {rounded_mean_sql('coma_s', 'coma_n')} AS avg_coma_scale,
+    {round2(mean_sql('po2_s', 'po2_n') + ' / NULLIF(' + round2(merge_sql(mean_sql('fio0_s', 'fio0_n'), mean_sql('fio1_s', 'fio1_n'))) + ', 0)')} AS pf_ratio
+  FROM ch)
+"""
+
+MULTI_MEASURE = f"WITH {ROLE_CTES}, {MULTI_MEASURE_SELECT} SELECT * FROM mm"
+
+FEATURE_MERGE = f"""
+WITH {ROLE_CTES},
+ch AS (
+  SELECT subject_id, {_component('hr', ['purchase'], 'valuenum')},
+    {_component('bp', ['signup', 'view'], 'valuenum')}
+  FROM ev WHERE itemid IN ('purchase', 'signup', 'view') GROUP BY subject_id),
+op AS (
+  SELECT subject_id, {_component('urine', ['1-URGENT', '2-HIGH'], NUM)},
+    {_component('sodium', ['3-MEDIUM'], NUM)}
+  FROM outp WHERE itemid IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY subject_id),
+j AS (
+  SELECT ch.subject_id,
+    {rounded_mean_sql('hr_s', 'hr_n')} AS avg_heart_rate,
+    {rounded_mean_sql('bp_s', 'bp_n')} AS avg_bp,
+    {rounded_mean_sql('urine_s', 'urine_n')} AS avg_urine_output,
+    {rounded_mean_sql('sodium_s', 'sodium_n')} AS avg_sodium
+  FROM ch JOIN op ON ch.subject_id = op.subject_id)
+SELECT * FROM j
+WHERE avg_heart_rate IS NOT NULL AND avg_bp IS NOT NULL AND avg_urine_output IS NOT NULL
+  AND avg_sodium IS NOT NULL
+"""
+
+GROUP_MEAN = f"""
+SELECT user_id, {mean_sql(micro_sum('TRUE', 'value'), cond_count('TRUE', 'value'))} AS avg_value
+FROM events GROUP BY user_id
+"""
+
+GROUP_MEAN_ROUNDED = f"""
+SELECT o_custkey, {rounded_mean_sql(micro_sum('TRUE', 'o_totalprice'), cond_count('TRUE', 'o_totalprice'))} AS avg_totalprice
+FROM orders GROUP BY o_custkey
+"""
+
+OUTER_MERGE = f"""
+WITH l AS (
+  SELECT user_id AS subject_id, {micro_sum('TRUE', f_to_c_sql('value'))} AS s, {cond_count('TRUE', f_to_c_sql('value'))} AS n
+  FROM events WHERE event_type = 'click' GROUP BY user_id),
+r AS (
+  SELECT o_custkey AS subject_id, {micro_sum('TRUE', 'o_totalprice / 10000')} AS s, {cond_count('TRUE', 'o_totalprice / 10000')} AS n
+  FROM orders GROUP BY o_custkey)
+SELECT coalesce(l.subject_id, r.subject_id) AS subject_id,
+  {round2(merge_sql(mean_sql('l.s', 'l.n'), mean_sql('r.s', 'r.n')))} AS avg_temp
+FROM l FULL OUTER JOIN r ON l.subject_id = r.subject_id
+"""
+
+RATIO_JOIN = f"""
+WITH lines AS (
+  SELECT o.o_custkey AS subject_id, l.l_returnflag, l.l_linestatus, l.l_quantity, l.l_discount
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+num AS (
+  SELECT subject_id, {micro_sum('TRUE', 'l_quantity')} AS s, {cond_count('TRUE', 'l_quantity')} AS n
+  FROM lines WHERE l_returnflag = 'A' GROUP BY subject_id),
+den AS (
+  SELECT subject_id,
+    {micro_sum('TRUE', "CASE WHEN l_linestatus = 'F' THEN l_discount ELSE 0.0 END")} AS s,
+    {cond_count('TRUE', "CASE WHEN l_linestatus = 'F' THEN l_discount ELSE 0.0 END")} AS n
+  FROM lines WHERE l_returnflag = 'R' GROUP BY subject_id)
+SELECT num.subject_id,
+  {round2(mean_sql('num.s', 'num.n') + ' / NULLIF(' + rounded_mean_sql('den.s', 'den.n') + ', 0)')} AS qty_per_disc
+FROM num JOIN den ON num.subject_id = den.subject_id
+"""
+
+COMPLETE_CASES = f"""
+WITH ev AS (
+  SELECT user_id AS subject_id, {rounded_mean_sql(micro_sum('TRUE', 'value'), cond_count('TRUE', 'value'))} AS avg_event_value
+  FROM events GROUP BY user_id),
+od AS (
+  SELECT o_custkey AS subject_id, {rounded_mean_sql(micro_sum('TRUE', 'o_totalprice'), cond_count('TRUE', 'o_totalprice'))} AS avg_order_value
+  FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey AS subject_id, c.c_acctbal, ev.avg_event_value, od.avg_order_value
+FROM customer c LEFT JOIN ev ON c.c_custkey = ev.subject_id LEFT JOIN od ON c.c_custkey = od.subject_id
+WHERE c.c_acctbal IS NOT NULL AND NOT isnan(c.c_acctbal) AND ev.avg_event_value IS NOT NULL
+  AND od.avg_order_value IS NOT NULL
+"""
+
+COHORT_JOIN = f"""
+WITH {ROLE_CTES}
+SELECT a.subject_id, a.hadm_id, a.admittime, a.hospital_expire_flag, s.los, p.dob, p.gender
+FROM adm a JOIN stays s ON a.hadm_id = s.hadm_id JOIN pats p ON a.subject_id = p.subject_id
+"""
+
+COHORT_FEATURES = f"""
+WITH {ROLE_CTES}
+SELECT a.subject_id, a.hadm_id, {GENDER_SQL} AS gender, s.los, {AGE_SQL} AS age,
+  CAST(a.hospital_expire_flag AS INTEGER) AS expire_flag, {COUNT_NAMES}
+FROM adm a
+JOIN counts c ON a.subject_id = c.subject_id
+JOIN pats p ON a.subject_id = p.subject_id
+JOIN stays s ON a.hadm_id = s.hadm_id,
+{AGE_LATERAL}
+"""
+
+CODE_COUNTS = f"WITH {ROLE_CTES} SELECT * FROM counts"
+
+COLLECT_CODES = """
+SELECT o_custkey, list(o_orderpriority ORDER BY o_orderpriority) AS codes,
+  list(n ORDER BY o_orderpriority) AS counts
+FROM (SELECT o_custkey, o_orderpriority, count(*) AS n FROM orders
+      WHERE o_orderpriority IS NOT NULL GROUP BY o_custkey, o_orderpriority)
+GROUP BY o_custkey
+"""
+
+CODE_GROUP = f"""
+SELECT l_orderkey, l_linenumber, icd9_code, CAST({code_group_sql('icd9_code')} AS INTEGER) AS icd9_group
+FROM (SELECT l_orderkey, l_linenumber, {code_sql('l_partkey', 'l_linenumber')} AS icd9_code FROM lineitem)
+"""
+
+UNIT_CONVERT = f"""
+SELECT event_id, {f_to_c_sql("(CASE WHEN event_type = 'error' THEN CAST(0 AS DOUBLE) ELSE value END)")} AS value_c
+FROM events
+"""
+
+AGE_YEARS = f"""
+WITH {ROLE_CTES}
+SELECT a.hadm_id, a.subject_id, {AGE_SQL} AS age
+FROM adm a JOIN pats p ON a.subject_id = p.subject_id, {AGE_LATERAL}
+"""
+
+BINARY_CODE = """
+SELECT c_custkey,
+  CAST(CASE WHEN NULLIF(substring(c_mktsegment, 1, 1), 'H') = 'M' THEN 0 ELSE 1 END AS INTEGER) AS sex_code
+FROM customer
+"""
+
+SAFE_NUMERIC = """
+SELECT p_partkey, TRY_CAST(substring(p_brand, 7, 10) AS DOUBLE) AS brand_number,
+  TRY_CAST(p_name AS DOUBLE) AS name_number, TRY_CAST(p_brand AS DOUBLE) AS brand_whole
+FROM part
+"""
+
+P_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+ONE_HOT = (
+    "SELECT p_partkey, p_type, "
+    + ", ".join(f"CAST(CASE WHEN p_type = '{t}' THEN 1 ELSE 0 END AS INTEGER) AS p_type_{t}" for t in P_TYPES)
+    + " FROM part"
+)
+
+
+def _describe_sql() -> str:
+    from cohort_features.functions.catalog import feature_descriptions
+
+    feats = ["avg_temp", "avg_heart_rate", "avg_bp", "avg_coma_scale", "pf_ratio"]
+    long_rows = " UNION ALL ".join(
+        f"SELECT subject_id, '{f}' AS feature, {f} AS value FROM mm" for f in feats
+    )
+    values = ", ".join(
+        "('{}', '{}')".format(f, d.replace("'", "''")) for f, d in feature_descriptions()
+    )
+    return f"""
+WITH {ROLE_CTES}, {MULTI_MEASURE_SELECT},
+lf AS ({long_rows}),
+d AS (SELECT * FROM (VALUES {values}) t(feature, description))
+SELECT lf.feature, lf.subject_id, lf.value, d.description
+FROM lf JOIN d ON lf.feature = d.feature
+WHERE lf.value IS NOT NULL
+"""
+
+
+DESCRIBE_FEATURES = _describe_sql()
+
+PROJECT_COLUMNS = "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders"
+DERIVED_COLUMN = "SELECT l_orderkey, l_linenumber, l_discount, l_discount / 100 AS discount_fraction FROM lineitem"
+ARRAY_TO_COLUMNS = (
+    "SELECT vec_id, label, "
+    + ", ".join(f"embedding[{i + 1}] AS e{i}" for i in range(20))
+    + " FROM embeddings"
+)
+DROPNA_SUBSET = """
+SELECT event_id, user_id, event_type
+FROM (SELECT event_id, user_id, NULLIF(event_type, 'error') AS event_type FROM events)
+WHERE event_type IS NOT NULL
+"""
+FILTER_ISIN = "SELECT event_id, user_id, event_type, value FROM events WHERE event_type IN ('click', 'view')"
+FILTER_EQ = "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'"
+FILTER_OR = (
+    "SELECT event_id, user_id, event_type, value FROM events "
+    "WHERE event_type = 'click' OR event_type = 'signup'"
+)
+CSV_SCAN = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+FEATURES_ROUNDTRIP = (
+    "SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_extendedprice AS f1, "
+    "l_discount AS f2, l_tax AS f3 FROM lineitem"
+)
+ASSEMBLE = (
+    "SELECT l_orderkey, l_linenumber AS line, l_quantity AS a0, l_discount AS a1, l_tax AS a2, "
+    "CAST(l_linenumber AS DOUBLE) AS a3 FROM lineitem"
+)
+SPLIT_BY_KEY = """
+SELECT event_id, user_id,
+  (('0x' || substring(md5(CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 100) < 70 AS is_train
+FROM events
+"""
+
+DOC_PRED = """
+p AS (
+  SELECT CAST(l.quality AS DOUBLE) AS label,
+         CAST(CAST(d.n_chars > 1000 AS INTEGER) AS DOUBLE) AS prediction
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)
+"""
+METRIC_ACCURACY = f"""
+WITH {DOC_PRED}
+SELECT CAST(sum(CAST(label = prediction AS INTEGER)) AS BIGINT) / count(*) AS accuracy FROM p
+"""
+CONFUSION_MATRIX = f"""
+WITH {DOC_PRED}
+SELECT label, prediction, count(*) AS n FROM p GROUP BY label, prediction
+"""
+PRECISION_RECALL_F1 = f"""
+WITH {DOC_PRED},
+cells AS (SELECT label, prediction, count(*) AS n FROM p GROUP BY label, prediction),
+c AS (
+  SELECT class, CAST(sum(tp) AS BIGINT) AS tp, CAST(sum(pr) AS BIGINT) AS predicted,
+         CAST(sum(ac) AS BIGINT) AS actual
+  FROM (SELECT label AS class, CASE WHEN label = prediction THEN n ELSE 0 END AS tp, 0 AS pr, n AS ac FROM cells
+        UNION ALL
+        SELECT prediction AS class, 0 AS tp, n AS pr, 0 AS ac FROM cells)
+  GROUP BY class),
+pr AS (
+  SELECT class, tp, predicted, actual,
+    CAST(tp AS DOUBLE) / NULLIF(CAST(predicted AS DOUBLE), 0) AS precision,
+    CAST(tp AS DOUBLE) / NULLIF(CAST(actual AS DOUBLE), 0) AS recall
+  FROM c)
+SELECT *, 2 * precision * recall / NULLIF(precision + recall, 0) AS f1 FROM pr
+"""
+METRIC_REGRESSION = """
+WITH p AS (SELECT l_extendedprice AS label, l_quantity * 1500 AS prediction FROM lineitem),
+a AS (
+  SELECT count(*) AS n, avg((prediction - label) * (prediction - label)) AS mse,
+         avg(abs(prediction - label)) AS mae,
+         sum((prediction - label) * (prediction - label)) AS ss_res,
+         var_pop(label) * count(*) AS ss_tot
+  FROM p)
+SELECT round(sqrt(mse) * 100) / 100 AS rmse, round(mae * 100) / 100 AS mae,
+  round((1.0 - ss_res / NULLIF(ss_tot, 0)) * 1000000) / 1000000 AS r2, n
+FROM a
+"""
+ONE_FEATURE_FIT = """
+SELECT 'intercept' AS term, round(regr_intercept(l_extendedprice, l_quantity) * 10000) / 10000 AS value
+FROM lineitem
+UNION ALL
+SELECT 'l_quantity' AS term, round(regr_slope(l_extendedprice, l_quantity) * 10000) / 10000 AS value
+FROM lineitem
 """
 
 ORACLE: dict[str, str] = {
     "stay_features": STAY_FEATURES,
+    "subject_features": SUBJECT_FEATURES,
+    "measures_chain": SUBJECT_FEATURES,
+    "multi_measure": MULTI_MEASURE,
+    "feature_merge": FEATURE_MERGE,
+    "group_mean": GROUP_MEAN,
+    "group_mean_rounded": GROUP_MEAN_ROUNDED,
+    "outer_merge": OUTER_MERGE,
+    "ratio_join": RATIO_JOIN,
+    "complete_cases": COMPLETE_CASES,
+    "cohort_join": COHORT_JOIN,
+    "cohort_features": COHORT_FEATURES,
+    "code_counts": CODE_COUNTS,
+    "collect_codes": COLLECT_CODES,
+    "code_group": CODE_GROUP,
+    "unit_convert": UNIT_CONVERT,
+    "age_years": AGE_YEARS,
+    "binary_code": BINARY_CODE,
+    "safe_numeric": SAFE_NUMERIC,
+    "one_hot": ONE_HOT,
+    "describe_features": DESCRIBE_FEATURES,
+    "project_columns": PROJECT_COLUMNS,
+    "derived_column": DERIVED_COLUMN,
+    "array_to_columns": ARRAY_TO_COLUMNS,
+    "dropna_subset": DROPNA_SUBSET,
+    "filter_isin": FILTER_ISIN,
+    "filter_eq": FILTER_EQ,
+    "filter_or": FILTER_OR,
+    "csv_scan": CSV_SCAN,
+    "features_roundtrip": FEATURES_ROUNDTRIP,
+    "assemble": ASSEMBLE,
+    "split_by_key": SPLIT_BY_KEY,
+    "metric_accuracy": METRIC_ACCURACY,
+    "confusion_matrix": CONFUSION_MATRIX,
+    "precision_recall_f1": PRECISION_RECALL_F1,
+    "metric_regression": METRIC_REGRESSION,
+    "reg_linear": ONE_FEATURE_FIT,
+    "reg_glm": ONE_FEATURE_FIT,
 }

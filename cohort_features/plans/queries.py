@@ -1,8 +1,9 @@
 """Every operator wired over the driver tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Each function reads whole tables and returns a lazy DataFrame; none collects.
+Each function reads whole tables and returns a DataFrame; none collects rows.
 The matching DuckDB SQL lives in ``plans.oracle`` under the same name, with
-identical column names.
+identical column names. Model queries (rows-only check) fit on the full
+feature table of the given scale with fixed seeds and entity-whole splits.
 """
 
 from __future__ import annotations
@@ -10,18 +11,549 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
-from cohort_features.operators.features import stay_features as _stay_features
+from cohort_features.functions.catalog import Component, Measure, MeasureCatalogue
+from cohort_features.functions.expressions import (
+    age_years,
+    array_slots,
+    binary_code,
+    code_group,
+    fahrenheit_to_celsius,
+    safe_numeric,
+)
+from cohort_features.operators import cohort as cohort_ops
+from cohort_features.operators import describe as describe_ops
+from cohort_features.operators import features as feature_ops
+from cohort_features.operators import measures as measure_ops
+from cohort_features.operators import metrics as metric_ops
+from cohort_features.operators import models as model_ops
+from cohort_features.operators import scoring as scoring_ops
 from cohort_features.plans import driver
+from cohort_features.session import ensure_checkpoint_dir, materialize, scratch_path
+from cohort_features.sources.readers import read_csv, read_features, write_features
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# --------------------------------------------------------------------------
+# catalogues over the driver vocabularies
+# --------------------------------------------------------------------------
+
+# Events alone, all five event types (the charts role).
+EVENT_CATALOGUE = MeasureCatalogue(
+    components=(
+        Component("temp_f", "charts", ("click",), "valuenum", "f_to_c"),
+        Component("temp_c", "charts", ("view",), "valuenum"),
+        Component("heart_rate", "charts", ("purchase",), "valuenum"),
+        Component("bp", "charts", ("signup",), "valuenum"),
+        Component("coma_scale", "charts", ("error",), "valuenum"),
+        Component("fio2_fraction", "charts", ("signup",), "value"),
+        Component("fio2_percent", "charts", ("click", "error"), "value", "percent"),
+        Component("po2", "charts", ("purchase", "view"), "valuenum"),
+    ),
+    measures=(
+        Measure("avg_temp", "merge", ("temp_f", "temp_c")),
+        Measure("avg_heart_rate", "mean", ("heart_rate",)),
+        Measure("avg_bp", "mean", ("bp",)),
+        Measure("avg_coma_scale", "mean", ("coma_scale",)),
+        Measure("avg_fio2", "merge", ("fio2_fraction", "fio2_percent"), visible=False),
+        Measure("pf_ratio", "ratio", ("po2", "avg_fio2")),
+    ),
+)
+
+# Events (charts role) and orders (outputs role), merged by subject.
+TWO_SOURCE_CATALOGUE = MeasureCatalogue(
+    components=(
+        Component("heart_rate", "charts", ("purchase",), "valuenum"),
+        Component("bp", "charts", ("signup", "view"), "valuenum"),
+        Component("urine_output", "outputs", ("1-URGENT", "2-HIGH"), "value"),
+        Component("sodium", "outputs", ("3-MEDIUM",), "value"),
+    ),
+    measures=(
+        Measure("avg_heart_rate", "mean", ("heart_rate",)),
+        Measure("avg_bp", "mean", ("bp",)),
+        Measure("avg_urine_output", "mean", ("urine_output",)),
+        Measure("avg_sodium", "mean", ("sodium",)),
+    ),
+)
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return driver.table(spark, sf_dir, name)
+
+
+# --------------------------------------------------------------------------
+# flagship and feature pipeline
+# --------------------------------------------------------------------------
+
 
 def stay_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: measures + cohort + counts + complete cases, one row per stay."""
-    return _stay_features(driver.clinical_tables(spark, sf_dir), driver.DRIVER_CATALOGUE)
+    return feature_ops.stay_features(driver.clinical_tables(spark, sf_dir), driver.DRIVER_CATALOGUE)
+
+
+def measures_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The per-family filter -> group -> join chain (literal plan shape)."""
+    tables = driver.clinical_tables(spark, sf_dir)
+    cat = driver.DRIVER_CATALOGUE
+    return measure_ops.per_family_chain({s: tables[s] for s in cat.sources()}, cat)
+
+
+def subject_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-pass measures over three event roles, complete subjects only."""
+    tables = driver.clinical_tables(spark, sf_dir)
+    cat = driver.DRIVER_CATALOGUE
+    return measure_ops.subject_measures({s: tables[s] for s in cat.sources()}, cat, complete=True)
+
+
+def multi_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 over all five event types, every user kept (measures may be NULL)."""
+    return measure_ops.subject_measures({"charts": driver.charts(spark, sf_dir)}, EVENT_CATALOGUE)
+
+
+def feature_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events measures inner-merged with order measures by subject."""
+    sources = {"charts": driver.charts(spark, sf_dir), "outputs": driver.outputs(spark, sf_dir)}
+    return measure_ops.subject_measures(sources, TWO_SOURCE_CATALOGUE, complete=True)
+
+
+def group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1: unrounded per-user mean of event values."""
+    ev = _t(spark, sf_dir, "events")
+    return measure_ops.group_mean(ev, "user_id", "value", "avg_value")
+
+
+def group_mean_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2: per-customer order value mean rounded to cents."""
+    o = _t(spark, sf_dir, "orders")
+    return measure_ops.group_mean(o, "o_custkey", "o_totalprice", "avg_totalprice", digits=2)
+
+
+def outer_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4 + E2 + E3: a Fahrenheit source (click events per user) merged with a
+    Celsius source (orders per customer, totalprice / 10000) by full outer join."""
+    ev = _t(spark, sf_dir, "events").filter(F.col("event_type") == "click").select(
+        F.col("user_id").alias("subject_id"), fahrenheit_to_celsius(F.col("value")).alias("v")
+    )
+    o = _t(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("subject_id"), (F.col("o_totalprice") / 10000).alias("v")
+    )
+    left = measure_ops.group_mean(ev, "subject_id", "v", "temp_f")
+    right = measure_ops.group_mean(o, "subject_id", "v", "temp_c")
+    return measure_ops.merge_sources(left, right, "subject_id", "temp_f", "temp_c", "avg_temp")
+
+
+def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 + E8: per customer, mean quantity of returned-'A' lines over the
+    cent-rounded mean discount of 'R' lines (discount counted only on
+    status-F lines); zero denominators give NULL."""
+    lines = driver._lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
+    num = measure_ops.group_mean(
+        lines.filter(F.col("l_returnflag") == "A"), "subject_id", "l_quantity", "avg_qty"
+    )
+    den_src = lines.filter(F.col("l_returnflag") == "R").select(
+        "subject_id",
+        F.when(F.col("l_linestatus") == "F", F.col("l_discount")).otherwise(F.lit(0.0)).alias("disc"),
+    )
+    den = measure_ops.group_mean(den_src, "subject_id", "disc", "avg_disc", digits=2)
+    return measure_ops.ratio_join(num, den, "subject_id", "avg_qty", "avg_disc", "qty_per_disc")
+
+
+def complete_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers left-joined to per-subject event and order means; rows
+    with any NULL dropped."""
+    base = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("subject_id"), "c_acctbal")
+    ev = measure_ops.group_mean(
+        _t(spark, sf_dir, "events").withColumnRenamed("user_id", "subject_id"),
+        "subject_id", "value", "avg_event_value", digits=2,
+    )
+    od = measure_ops.group_mean(
+        _t(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "subject_id"),
+        "subject_id", "o_totalprice", "avg_order_value", digits=2,
+    )
+    joined = base.join(ev, "subject_id", "left").join(od, "subject_id", "left")
+    return feature_ops.complete_cases(joined)
+
+
+# --------------------------------------------------------------------------
+# cohort
+# --------------------------------------------------------------------------
+
+
+def cohort_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 + J2: stays x admissions x patients."""
+    return cohort_ops.cohort_join(
+        driver.admissions(spark, sf_dir), driver.icu_stays(spark, sf_dir), driver.patients(spark, sf_dir)
+    )
+
+
+def cohort_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1-J3 + E5 + E6 + A4: one row per stay with age, codes and counts."""
+    return cohort_ops.stay_cohort(
+        driver.admissions(spark, sf_dir), driver.icu_stays(spark, sf_dir),
+        driver.patients(spark, sf_dir), driver.diagnoses(spark, sf_dir),
+    )
+
+
+def code_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: 20 chapter counts per subject."""
+    return cohort_ops.code_counts(driver.diagnoses(spark, sf_dir))
+
+
+def collect_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: each customer's order priorities as a sorted multiset."""
+    o = _t(spark, sf_dir, "orders")
+    return cohort_ops.collect_codes(o, "o_custkey", "o_orderpriority", "codes", "counts")
+
+
+def code_group_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 per line: derived code -> chapter."""
+    li = _t(spark, sf_dir, "lineitem")
+    code = driver.diagnosis_code(F.col("l_partkey"), F.col("l_linenumber"))
+    return li.select("l_orderkey", "l_linenumber", code.alias("icd9_code")).select(
+        "*", code_group(F.col("icd9_code")).alias("icd9_group")
+    )
+
+
+def unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 per event; 'error' events carry 0 (treated as missing)."""
+    ev = _t(spark, sf_dir, "events")
+    f = F.when(F.col("event_type") == "error", F.lit(0.0)).otherwise(F.col("value"))
+    return ev.select("event_id", fahrenheit_to_celsius(f).alias("value_c"))
+
+
+def age_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5: age at each order from the derived birth date, capped."""
+    adm = driver.admissions(spark, sf_dir)
+    pats = driver.patients(spark, sf_dir)
+    return adm.join(pats, "subject_id").select(
+        "hadm_id", "subject_id", age_years(F.col("admittime"), F.col("dob")).alias("age")
+    )
+
+
+def binary_code_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment initial 'M' -> 0, else 1; the 'H' initial is made NULL."""
+    c = _t(spark, sf_dir, "customer")
+    initial = F.nullif(F.substring("c_mktsegment", 1, 1), F.lit("H"))
+    return c.select("c_custkey", binary_code(initial).alias("sex_code"))
+
+
+def safe_numeric_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text -> number with malformed text -> NULL."""
+    p = _t(spark, sf_dir, "part")
+    return p.select(
+        "p_partkey",
+        safe_numeric(F.substring("p_brand", 7, 10)).alias("brand_number"),
+        safe_numeric("p_name").alias("name_number"),
+        safe_numeric("p_brand").alias("brand_whole"),
+    )
+
+
+def one_hot_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One 0/1 column per part type."""
+    p = _t(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return describe_ops.one_hot_columns(p, "p_type")
+
+
+def describe_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long-form per-user measures with their descriptions."""
+    wide = multi_measure(spark, sf_dir)
+    cols = [m.name for m in EVENT_CATALOGUE.visible()]
+    long_df = describe_ops.long_form(wide, "subject_id", cols)
+    return describe_ops.describe(long_df, describe_ops.descriptions_frame(spark))
+
+
+# --------------------------------------------------------------------------
+# projections, filters
+# --------------------------------------------------------------------------
+
+
+def project_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+
+
+def derived_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_discount").withColumn(
+        "discount_fraction", F.col("l_discount") / 100
+    )
+
+
+def array_to_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = _t(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", *array_slots(F.col("embedding"), 20, "e"))
+
+
+def dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events").select(
+        "event_id", "user_id", F.nullif(F.col("event_type"), F.lit("error")).alias("event_type")
+    )
+    return ev.dropna(subset=["event_type"])
+
+
+def filter_isin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events")
+    return ev.filter(F.col("event_type").isin(["click", "view"])).select("event_id", "user_id", "event_type", "value")
+
+
+def filter_eq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events")
+    return ev.filter(F.col("event_type") == "purchase").select("event_id", "user_id", "value")
+
+
+def filter_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events")
+    cond = (F.col("event_type") == "click") | (F.col("event_type") == "signup")
+    return ev.filter(cond).select("event_id", "user_id", "event_type", "value")
+
+
+# --------------------------------------------------------------------------
+# sources and sinks
+# --------------------------------------------------------------------------
+
+ORDERS_SCHEMA = StructType([
+    StructField("o_orderkey", LongType()),
+    StructField("o_custkey", LongType()),
+    StructField("o_orderstatus", StringType()),
+    StructField("o_totalprice", DoubleType()),
+    StructField("o_orderdate", TimestampNTZType()),
+    StructField("o_orderpriority", StringType()),
+])
+
+
+def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written as CSV, read back by header name with a schema."""
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "orders-csv")
+    _t(spark, sf_dir, "orders").write.option("header", True).csv(path)
+    return read_csv(spark, path, ORDERS_SCHEMA)
+
+
+def features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors written to Parquet and read back, then unpacked."""
+    ensure_checkpoint_dir(spark)
+    li = _t(spark, sf_dir, "lineitem")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    vec = feature_ops.assemble(li, cols).select("l_orderkey", "l_linenumber", "features")
+    path = scratch_path(spark, "features")
+    write_features(vec, path)
+    return feature_ops.vector_slots(read_features(spark, path), "features", len(cols))
+
+
+def assemble_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: four numerics -> vector -> slots."""
+    li = _t(spark, sf_dir, "lineitem")
+    cols = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+    vec = feature_ops.assemble(li, cols).select("l_orderkey", "l_linenumber", "features")
+    return feature_ops.vector_slots(vec.withColumnRenamed("l_linenumber", "line"), "features", 4, "a")
+
+
+# --------------------------------------------------------------------------
+# splits
+# --------------------------------------------------------------------------
+
+
+def split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id")
+    return feature_ops.split_flag(ev, "user_id", 70)
+
+
+def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id")
+    train, test = feature_ops.split_random(ev, (0.7, 0.3), seed=7)
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+# --------------------------------------------------------------------------
+# metrics
+# --------------------------------------------------------------------------
+
+
+def _doc_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = _t(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    docs = _t(spark, sf_dir, "documents").select(
+        "doc_id", (F.col("n_chars") > 1000).cast("int").alias("prediction")
+    )
+    return labels.join(docs, "doc_id")
+
+
+def metric_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_ops.accuracy(_doc_predictions(spark, sf_dir))
+
+
+def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_ops.confusion_matrix(_doc_predictions(spark, sf_dir))
+
+
+def precision_recall_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_ops.precision_recall_f1(_doc_predictions(spark, sf_dir))
+
+
+def metric_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").select(
+        F.col("l_extendedprice").alias("label"), (F.col("l_quantity") * 1500).alias("prediction")
+    )
+    m = metric_ops.regression_metrics(li)
+    r = lambda c, d: (F.round(F.col(c) * (10**d)) / (10**d)).alias(c)
+    return m.select(r("rmse", 2), r("mae", 2), r("r2", 6), "n")
+
+
+# --------------------------------------------------------------------------
+# models (rows-only checks, except the two linear fits)
+# --------------------------------------------------------------------------
+
+
+def _training_sets(spark: SparkSession, sf_dir: str, task: str) -> tuple[DataFrame, DataFrame]:
+    """Feature vectors of the stay table, materialised once under the
+    checkpoint folder, split 70/30 by a hash of the subject."""
+    ensure_checkpoint_dir(spark)
+    feats = stay_features(spark, sf_dir)
+    label = "expire_flag" if task == "classification" else "los"
+    cols = model_ops_vector_columns(task)
+    vec = feature_ops.assemble(feats, cols).select("subject_id", "features", F.col(label).cast("double").alias(label))
+    vec = materialize(vec, f"vectors-{task}")
+    return feature_ops.split_by_key(vec, "subject_id", 70)
+
+
+def model_ops_vector_columns(task: str) -> list[str]:
+    from cohort_features.functions.catalog import vector_columns
+
+    return vector_columns(driver.DRIVER_CATALOGUE, task)
+
+
+def _single_classifier(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        train, test = _training_sets(spark, sf_dir, "classification")
+        n = len(model_ops_vector_columns("classification"))
+        est = model_ops.classifier(name, "expire_flag", n)
+        return spark.createDataFrame(
+            model_ops.fit_and_score(est, train, test, "classification", "expire_flag", name),
+            model_ops.METRIC_SCHEMA,
+        )
+
+    run.__name__ = f"clf_{name}"
+    return run
+
+
+def _single_regressor(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        train, test = _training_sets(spark, sf_dir, "regression")
+        est = model_ops.regressor(name, "los")
+        return spark.createDataFrame(
+            model_ops.fit_and_score(est, train, test, "regression", "los", name),
+            model_ops.METRIC_SCHEMA,
+        )
+
+    run.__name__ = f"reg_{name}"
+    return run
+
+
+def compare_classifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _training_sets(spark, sf_dir, "classification")
+    n = len(model_ops_vector_columns("classification"))
+    ests = {name: model_ops.classifier(name, "expire_flag", n) for name in model_ops.CLASSIFIER_NAMES}
+    return model_ops.bake_off(spark, ests, train, test, "classification", "expire_flag")
+
+
+def compare_regressors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _training_sets(spark, sf_dir, "regression")
+    ests = {name: model_ops.regressor(name, "los") for name in model_ops.REGRESSOR_NAMES}
+    return model_ops.bake_off(spark, ests, train, test, "regression", "los")
+
+
+def _one_feature_fit(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    li = _t(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    vec = feature_ops.assemble(li, ["l_quantity"])
+    model = model_ops.regressor(name, "l_extendedprice").fit(vec)
+    rows = [("intercept", float(model.intercept)), ("l_quantity", float(model.coefficients[0]))]
+    df = spark.createDataFrame(rows, "term string, value double")
+    return df.select("term", (F.round(F.col("value") * 10000) / 10000).alias("value"))
+
+
+def reg_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M10 on one feature over all lines: OLS coefficients (oracle: regr_*)."""
+    return _one_feature_fit(spark, sf_dir, "linear")
+
+
+def reg_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M11 (Gaussian, identity link) on the same problem."""
+    return _one_feature_fit(spark, sf_dir, "glm")
+
+
+def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A saved-and-reloaded pipeline scores every held-out stay."""
+    ensure_checkpoint_dir(spark)
+    feats = materialize(stay_features(spark, sf_dir), "stays")
+    train, test = feature_ops.split_by_key(feats, "subject_id", 70)
+    cols = model_ops_vector_columns("regression")
+    model = scoring_ops.fit_pipeline(train, cols, model_ops.regressor("decision_tree", "los", maxDepth=5))
+    path = scratch_path(spark, "pipeline")
+    scoring_ops.save_pipeline(model, path)
+    return scoring_ops.score_batch(scoring_ops.load_pipeline(path), test, ["subject_id", "hadm_id"])
+
+
+def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 + M21: GBT classifier, 2 x 2 grid, 3 subject-whole folds."""
+    train, test = _training_sets(spark, sf_dir, "classification")
+    est = model_ops.classifier("gbt", "expire_flag", 0)
+    grid = {"maxDepth": [3, 5], "maxIter": [5, 10]}
+    return model_ops.cross_validate(
+        spark, est, grid, train, test, "classification", "expire_flag", folds=3, fold_key="subject_id"
+    )
 
 
 QUERIES: dict[str, Query] = {
     "stay_features": stay_features,
+    "subject_features": subject_features,
+    "measures_chain": measures_chain,
+    "multi_measure": multi_measure,
+    "feature_merge": feature_merge,
+    "group_mean": group_mean,
+    "group_mean_rounded": group_mean_rounded,
+    "outer_merge": outer_merge,
+    "ratio_join": ratio_join,
+    "complete_cases": complete_cases,
+    "cohort_join": cohort_join,
+    "cohort_features": cohort_features,
+    "code_counts": code_counts,
+    "collect_codes": collect_codes,
+    "code_group": code_group_q,
+    "unit_convert": unit_convert,
+    "age_years": age_q,
+    "binary_code": binary_code_q,
+    "safe_numeric": safe_numeric_q,
+    "one_hot": one_hot_q,
+    "describe_features": describe_features,
+    "project_columns": project_columns,
+    "derived_column": derived_column,
+    "array_to_columns": array_to_columns,
+    "dropna_subset": dropna_subset,
+    "filter_isin": filter_isin,
+    "filter_eq": filter_eq,
+    "filter_or": filter_or,
+    "csv_scan": csv_scan,
+    "features_roundtrip": features_roundtrip,
+    "assemble": assemble_q,
+    "split_by_key": split_by_key,
+    "split_random": split_random,
+    "metric_accuracy": metric_accuracy,
+    "confusion_matrix": confusion_matrix,
+    "precision_recall_f1": precision_recall_f1,
+    "metric_regression": metric_regression,
+    "reg_linear": reg_linear,
+    "reg_glm": reg_glm,
+    **{f"clf_{n}": _single_classifier(n) for n in model_ops.CLASSIFIER_NAMES},
+    **{f"reg_{n}": _single_regressor(n) for n in ("gbt", "decision_tree", "random_forest")},
+    "compare_classifiers": compare_classifiers,
+    "compare_regressors": compare_regressors,
+    "score_batch": score_batch,
+    "cross_validate": cross_validate,
 }
