@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 
 from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline
+from pyspark.ml import Estimator, Pipeline, Transformer
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -23,6 +23,9 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
     GBTRegressor,
@@ -48,6 +51,24 @@ REFERENCE_GRIDS = {
 }
 REFERENCE_FOLDS = 5
 
+class NonNegative(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Clamp every vector element at 0 (column expressions, no UDF).
+
+    Min-max scaling fitted on training rows can map a test row below 0;
+    multinomial naive Bayes rejects negative inputs, so they are clamped to
+    the training minimum.
+    """
+
+    def __init__(self, inputCol: str = "features", outputCol: str = "features_nn"):
+        super().__init__()
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        arr = vector_to_array(F.col(self.getInputCol()))
+        clamped = F.transform(arr, lambda x: F.greatest(x, F.lit(0.0)))
+        return df.withColumn(self.getOutputCol(), array_to_vector(clamped))
+
+
 CLASSIFIER_NAMES = (
     "logistic_regression", "linear_svc", "decision_tree", "random_forest",
     "gbt", "multilayer_perceptron", "naive_bayes",
@@ -76,10 +97,11 @@ def classifier(
         return MultilayerPerceptronClassifier(**common, layers=layers, seed=seed, **params)
     if name == "naive_bayes":
         # multinomial NB rejects negative features: rescale to [0, 1] first
-        scaled = features + "_scaled"
+        scaled, clamped = features + "_scaled", features + "_nonneg"
         return Pipeline(stages=[
             MinMaxScaler(inputCol=features, outputCol=scaled),
-            NaiveBayes(labelCol=label, featuresCol=scaled, smoothing=1.0,
+            NonNegative(inputCol=scaled, outputCol=clamped),
+            NaiveBayes(labelCol=label, featuresCol=clamped, smoothing=1.0,
                        modelType="multinomial", **params),
         ])
     raise ValueError(f"unknown classifier {name!r}")

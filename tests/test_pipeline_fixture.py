@@ -1,0 +1,97 @@
+"""The golden clinical mini-dataset, end to end (FIXTURES.md §2)."""
+
+from __future__ import annotations
+
+from cohort_features.functions.catalog import CLINICAL_CATALOGUE, CODE_COUNT_COLUMNS, vector_columns
+from cohort_features.operators import cohort, features, measures
+
+EXPECTED_MEASURES = {
+    "avg_temp": {1: 37.0, 2: 37.2, 3: 36.9, 4: None},
+    "avg_heart_rate": {1: 85.0, 2: 100.0, 3: 140.0, 4: 70.0},
+    "avg_bp": {1: 120.0, 2: 112.5, 3: 60.0, 4: 130.0},
+    "avg_coma_scale": {1: 5.5, 2: 4.0, 3: 3.0, 4: 5.0},
+    "avg_urine_output": {1: 75.0, 2: 200.0, 3: 10.0, 4: 60.0},
+    "avg_nitrogen": {1: 25.0, 2: 15.0, 3: 5.0, 4: 12.0},
+    "avg_wbc": {1: 11.15, 2: 8.0, 3: 9.0, 4: 7.0},
+    "avg_bico": {1: 24.0, 2: 22.0, 3: 20.0, 4: 25.0},
+    "avg_sodium": {1: 140.0, 2: 138.0, 3: 141.0, 4: 139.0},
+    "avg_potassium": {1: 4.25, 2: 3.9, 3: None, 4: 4.1},
+    "avg_bilirubin": {1: 1.0, 2: 0.6, 3: 2.0, 4: 0.9},
+    "pf_ratio": {1: 180.0, 2: 190.0, 3: 333.33, 4: 300.0},
+}
+
+
+def _sources(clinical):
+    return {s: clinical[s] for s in CLINICAL_CATALOGUE.sources()}
+
+
+def test_code_counts(clinical):
+    rows = {r["subject_id"]: r for r in cohort.code_counts(clinical["diagnoses"]).collect()}
+    assert set(rows) == {1, 2, 3, 4}
+    nz = {s: {c: r[c] for c in CODE_COUNT_COLUMNS if r[c]} for s, r in rows.items()}
+    assert nz == {1: {"icd9_g1": 1, "icd9_g3": 1, "icd9_g19": 1, "icd9_g20": 1},
+                  2: {"icd9_g7": 2}, 3: {}, 4: {}}
+
+
+def test_stay_cohort(clinical):
+    got = cohort.stay_cohort(
+        clinical["admissions"], clinical["icu_stays"], clinical["patients"], clinical["diagnoses"]
+    ).select("subject_id", "hadm_id", "los", "age", "gender", "expire_flag").collect()
+    assert sorted(tuple(r) for r in got) == sorted([
+        (1, 100, 2.5, 49, 0, 0), (1, 100, 0.75, 49, 0, 0), (1, 101, 1.25, 51, 0, 0),
+        (2, 200, 4.0, 35, 1, 1), (3, 300, 0.5, 0, 1, 0), (4, 400, 3.0, 87, 0, 1),
+    ])
+
+
+def test_outcome_and_sex_are_not_swapped(clinical):
+    # subjects 3 and 4 have sex code != outcome: a label swap would flip them
+    got = {r["subject_id"]: (r["gender"], r["expire_flag"]) for r in cohort.stay_cohort(
+        clinical["admissions"], clinical["icu_stays"], clinical["patients"], clinical["diagnoses"]
+    ).collect()}
+    assert got[3] == (1, 0)
+    assert got[4] == (0, 1)
+
+
+def test_subject_measures(clinical):
+    got = measures.subject_measures(_sources(clinical), CLINICAL_CATALOGUE).collect()
+    by_subject = {r["subject_id"]: r for r in got}
+    for name, want in EXPECTED_MEASURES.items():
+        assert {s: by_subject[s][name] for s in want} == want, name
+
+
+def test_complete_measures_drop_required(clinical):
+    got = measures.subject_measures(_sources(clinical), CLINICAL_CATALOGUE, complete=True)
+    assert sorted(r["subject_id"] for r in got.collect()) == [1, 2]
+
+
+def test_stay_features_four_rows(clinical):
+    out = features.stay_features(clinical, CLINICAL_CATALOGUE)
+    rows = out.collect()
+    assert sorted((r["subject_id"], r["hadm_id"]) for r in rows) == [(1, 100), (1, 100), (1, 101), (2, 200)]
+    # potassium gates completeness although it is not a model input
+    assert "avg_potassium" in out.columns
+    assert "avg_potassium" not in vector_columns(CLINICAL_CATALOGUE, "classification")
+
+
+def test_vector_layouts():
+    clf = vector_columns(CLINICAL_CATALOGUE, "classification")
+    reg = vector_columns(CLINICAL_CATALOGUE, "regression")
+    assert len(clf) == 34 and len(reg) == 33
+    assert clf[:11] == ["avg_temp", "avg_heart_rate", "avg_bp", "avg_coma_scale", "avg_urine_output",
+                        "avg_nitrogen", "avg_wbc", "avg_bico", "avg_sodium", "avg_bilirubin", "pf_ratio"]
+    assert clf[11:14] == ["gender", "los", "age"] and "los" not in reg
+
+
+def test_feature_vectors(clinical):
+    feats = features.stay_features(clinical, CLINICAL_CATALOGUE)
+    vec = features.feature_vectors(feats, "classification", CLINICAL_CATALOGUE)
+    rows = vec.collect()
+    assert len(rows) == 4
+    assert all(r["features"].size == 34 for r in rows)
+
+
+def test_chain_equals_one_pass(clinical):
+    one = measures.subject_measures(_sources(clinical), CLINICAL_CATALOGUE, complete=True)
+    chain = measures.per_family_chain(_sources(clinical), CLINICAL_CATALOGUE)
+    assert one.exceptAll(chain).count() == 0
+    assert chain.exceptAll(one).count() == 0
