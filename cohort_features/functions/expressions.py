@@ -106,8 +106,12 @@ def binary_code(sex: Column | str, one_of: str = MALE_CODE) -> Column:
 
 
 def to_micros(x: Column | str) -> Column:
-    """Double -> exact integer count of 10**-6 units (for exact sums)."""
-    return F.round(_col(x) * F.lit(MICRO)).cast("bigint")
+    """Double -> exact integer count of 10**-6 units (for exact sums).
+
+    NaN, infinities and magnitudes beyond 9.2e12 have no integer form and
+    become NULL, i.e. they are treated as missing readings.
+    """
+    return F.round(_col(x) * F.lit(MICRO)).try_cast("bigint")
 
 
 def mean_from_micros(total: Column | str, n: Column | str) -> Column:

@@ -53,13 +53,33 @@ def _value(df: DataFrame, comp: Component) -> Column:
     raise ValueError(f"unknown transform {comp.transform!r}")
 
 
+def _value_columns(df: DataFrame, components) -> tuple[list[Column], dict[Component, str]]:
+    """One projected micro-unit column per distinct (value column, transform).
+
+    Text is parsed and converted once per row, however many families read it.
+    """
+    names: dict[tuple[str, str | None], str] = {}
+    cols: list[Column] = []
+    by_comp: dict[Component, str] = {}
+    for c in components:
+        key = (c.value_col, c.transform)
+        if key not in names:
+            names[key] = f"_m{len(names)}"
+            cols.append(to_micros(_value(df, c)).alias(names[key]))
+        by_comp[c] = names[key]
+    return cols, by_comp
+
+
+def _sum_count(comp: Component, micros: str, item_col: str) -> list[Column]:
+    v = F.when(F.col(item_col).isin(list(comp.items)), F.col(micros))
+    return [F.sum(v).alias(comp.name + SUM_SUFFIX), F.count(v).alias(comp.name + COUNT_SUFFIX)]
+
+
 def component_aggregates(df: DataFrame, comp: Component, item_col: str) -> list[Column]:
     """The two partial-aggregatable columns (micro-unit sum, count) of one family."""
-    value = F.when(F.col(item_col).isin(list(comp.items)), _value(df, comp))
-    return [
-        F.sum(to_micros(value)).alias(comp.name + SUM_SUFFIX),
-        F.count(value).alias(comp.name + COUNT_SUFFIX),
-    ]
+    micros = to_micros(_value(df, comp))
+    v = F.when(F.col(item_col).isin(list(comp.items)), micros)
+    return [F.sum(v).alias(comp.name + SUM_SUFFIX), F.count(v).alias(comp.name + COUNT_SUFFIX)]
 
 
 def source_aggregate(
@@ -71,11 +91,15 @@ def source_aggregate(
     """One scan + one grouped aggregate for all families of one event table.
 
     The coarse ``isin`` over the union of item ids is pushed into the Parquet
-    scan (row-group skipping on min/max and dictionary filters).
+    scan (row-group skipping on min/max and dictionary filters). Values are
+    converted to micro-units once per row in a projection; each family then
+    adds a conditional sum and count to the same partial aggregate.
     """
     items = sorted({i for c in components for i in c.items}, key=str)
-    aggs = [a for c in components for a in component_aggregates(df, c, item_col)]
-    return df.filter(F.col(item_col).isin(items)).groupBy(subject_col).agg(*aggs)
+    value_cols, by_comp = _value_columns(df, components)
+    rows = df.filter(F.col(item_col).isin(items)).select(subject_col, item_col, *value_cols)
+    aggs = [a for c in components for a in _sum_count(c, by_comp[c], item_col)]
+    return rows.groupBy(subject_col).agg(*aggs)
 
 
 def _component_mean(name: str, digits: int | None) -> Column:

@@ -30,8 +30,21 @@ TABLES = (
 ).split()
 
 
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The Parquet table as a lazy relation, created once per application.
+
+    Creating a relation lists the files and reads the footer for the schema on
+    the driver; the roles below read the same few tables many times, so they
+    share one relation (plans still prune columns per use).
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:

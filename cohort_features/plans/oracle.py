@@ -20,7 +20,7 @@ def _in(items) -> str:
 
 
 def micro_sum(cond: str, value: str) -> str:
-    return f"sum(CAST(round((CASE WHEN {cond} THEN {value} END) * 1000000) AS BIGINT))"
+    return f"sum(TRY_CAST(round((CASE WHEN {cond} THEN {value} END) * 1000000) AS BIGINT))"
 
 
 def cond_count(cond: str, value: str) -> str:
