@@ -510,6 +510,16 @@ def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cross_validate_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M20 + M21 on the length-of-stay task: GBT regressor tuned by RMSE."""
+    train, test = _training_sets(spark, sf_dir, "regression")
+    est = model_ops.regressor("gbt", "los")
+    grid = {"maxDepth": [3, 5], "maxIter": [5, 10]}
+    return model_ops.cross_validate(
+        spark, est, grid, train, test, "regression", "los", folds=3, fold_key="subject_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "stay_features": stay_features,
     "subject_features": subject_features,
@@ -556,4 +566,5 @@ QUERIES: dict[str, Query] = {
     "compare_regressors": compare_regressors,
     "score_batch": score_batch,
     "cross_validate": cross_validate,
+    "cross_validate_regressor": cross_validate_regressor,
 }
