@@ -79,10 +79,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """For tests and the local bench only: use the session's folder if one is
-    configured, otherwise create a scratch folder for this single-machine run."""
+    """Use the session's checkpoint folder; only a single-machine session
+    (``local`` master, as in tests and the local bench) without one gets a
+    scratch folder. A cluster session without one is an error."""
     found = _session_checkpoint_dir(spark)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            return checkpoint_dir(spark)  # raises with the explanation
         found = tempfile.mkdtemp(prefix="cohort-ckpt-")
     spark.sparkContext.setCheckpointDir(found)
     return found
