@@ -3,10 +3,17 @@
 Join order is chosen for scale. Everything keyed by subject (patients, code
 counts, measures) is unique per subject, so those tables are joined to each
 other first on their shared hash partitioning; the stay-level table
-(admissions x stays) meets that subject table once. The only join that can
-see a hot key is the stay-to-subject one, and there the subject side holds
-one row per key: AQE's skew-join handling splits the hot stay partition and
-replicates a single row, so no task receives a third of all stays.
+(admissions x stays) meets that subject table once. The only joins that can
+see a hot key are the stay-level ones (a subject, or an admission, holding a
+third of all rows), and there the other side holds one row per key.
+
+AQE splits a skewed join partition only when both join inputs are plain
+shuffles of scanned data; a subject table built from joins of aggregates is
+not. ``cut_subjects=True`` therefore writes the subject table (one row per
+subject, far smaller than the stays) to the checkpoint folder first: the
+lineage is cut, and the stay-level join reads it through an ordinary shuffle
+that AQE can split against the hot stay partition (or broadcast, when the
+written table is measured to be small).
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cohort_features.functions.catalog import CODE_COUNT_COLUMNS, N_CODE_GROUPS
 from cohort_features.functions.expressions import age_years, binary_code, code_group
+from cohort_features.session import materialize
 
 STAY_COLUMNS = ("subject_id", "hadm_id", "gender", "los", "age", "expire_flag")
 
@@ -93,15 +101,19 @@ def stay_cohort(
     patients: DataFrame,
     diagnoses: DataFrame,
     subject_extra: DataFrame | None = None,
+    cut_subjects: bool = False,
 ) -> DataFrame:
     """One row per ICU stay with age, sex code, outcome, stay length and the
     subject's 20 chapter counts (J1-J3, E5, E6, A4).
 
     The outcome is ``hospital_expire_flag`` and the sex code comes from
     ``gender``, each under its own name. ``subject_extra`` (e.g. the subject
-    measures) is joined at subject level before the stay-level join.
+    measures) is joined at subject level before the stay-level join;
+    ``cut_subjects`` materialises that subject table (see module notes).
     """
     subj = subject_table(patients, diagnoses, subject_extra)
+    if cut_subjects:
+        subj = materialize(subj, "subjects")
     adm = admissions.select("subject_id", "hadm_id", "admittime", "hospital_expire_flag")
     extra_cols = [c for c in subj.columns if c not in ("subject_id", "dob", "gender") and c not in CODE_COUNT_COLUMNS]
     joined = adm.join(subj, on="subject_id", how="inner").join(

@@ -34,14 +34,16 @@ def stay_features(
 
     ``tables`` holds the seven clinical roles: admissions, icu_stays,
     patients, diagnoses and the event tables named by the catalogue's
-    sources (charts, labs, outputs).
+    sources (charts, labs, outputs). The per-subject table is written under
+    ``spark.checkpoint.dir`` before it meets the stays (skew-splittable,
+    lineage cut), so that setting must name a shared folder.
     """
     measures = subject_measures(
         {s: tables[s] for s in catalogue.sources()}, catalogue, item_col=item_col, complete=True
     )
     cohort = stay_cohort(
         tables["admissions"], tables["icu_stays"], tables["patients"], tables["diagnoses"],
-        subject_extra=measures,
+        subject_extra=measures, cut_subjects=True,
     )
     return complete_cases(cohort)
 

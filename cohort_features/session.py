@@ -26,6 +26,9 @@ SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # no per-call Python stack capture for error messages: it costs a JVM
+    # round trip on every DataFrame/Column call while plans are being built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
