@@ -101,7 +101,7 @@ def stay_cohort(
     patients: DataFrame,
     diagnoses: DataFrame,
     subject_extra: DataFrame | None = None,
-    cut_subjects: bool = False,
+    cut_subjects: bool = True,
 ) -> DataFrame:
     """One row per ICU stay with age, sex code, outcome, stay length and the
     subject's 20 chapter counts (J1-J3, E5, E6, A4).
