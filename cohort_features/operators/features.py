@@ -54,12 +54,17 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
 
 
 def feature_vectors(
-    features: DataFrame, task: str, catalogue: MeasureCatalogue = CLINICAL_CATALOGUE
+    features: DataFrame,
+    task: str,
+    catalogue: MeasureCatalogue = CLINICAL_CATALOGUE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(features, label) for ``task`` in {"classification", "regression"}."""
+    """(``keep`` columns, features, label) for ``task`` in {"classification",
+    "regression"}; the label is a double, as ``pyspark.ml`` expects."""
     label = CLASSIFICATION_LABEL if task == "classification" else REGRESSION_LABEL
     cols = vector_columns(catalogue, task)
-    return assemble(complete_cases(features, cols + [label]), cols).select("features", label)
+    vec = assemble(complete_cases(features, cols + [label]), cols)
+    return vec.select(*keep, "features", F.col(label).cast("double").alias(label))
 
 
 def vector_slots(df: DataFrame, col: str, n: int, prefix: str = "f") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from cohort_features.functions.catalog import Component, Measure, MeasureCatalogue
+from cohort_features.functions.catalog import Component, Measure, MeasureCatalogue, vector_columns
 from cohort_features.functions.expressions import (
     age_years,
     array_slots,
@@ -418,23 +418,19 @@ def _training_sets(spark: SparkSession, sf_dir: str, task: str) -> tuple[DataFra
     checkpoint folder, split 70/30 by a hash of the subject."""
     ensure_checkpoint_dir(spark)
     feats = stay_features(spark, sf_dir)
-    label = "expire_flag" if task == "classification" else "los"
-    cols = model_ops_vector_columns(task)
-    vec = feature_ops.assemble(feats, cols).select("subject_id", "features", F.col(label).cast("double").alias(label))
+    vec = feature_ops.feature_vectors(feats, task, driver.DRIVER_CATALOGUE, keep=("subject_id",))
     vec = materialize(vec, f"vectors-{task}")
     return feature_ops.split_by_key(vec, "subject_id", 70)
 
 
-def model_ops_vector_columns(task: str) -> list[str]:
-    from cohort_features.functions.catalog import vector_columns
-
+def _vector_cols(task: str) -> list[str]:
     return vector_columns(driver.DRIVER_CATALOGUE, task)
 
 
 def _single_classifier(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         train, test = _training_sets(spark, sf_dir, "classification")
-        n = len(model_ops_vector_columns("classification"))
+        n = len(_vector_cols("classification"))
         est = model_ops.classifier(name, "expire_flag", n)
         return spark.createDataFrame(
             model_ops.fit_and_score(est, train, test, "classification", "expire_flag", name),
@@ -460,7 +456,7 @@ def _single_regressor(name: str) -> Query:
 
 def compare_classifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _training_sets(spark, sf_dir, "classification")
-    n = len(model_ops_vector_columns("classification"))
+    n = len(_vector_cols("classification"))
     ests = {name: model_ops.classifier(name, "expire_flag", n) for name in model_ops.CLASSIFIER_NAMES}
     return model_ops.bake_off(spark, ests, train, test, "classification", "expire_flag")
 
@@ -495,7 +491,7 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     feats = materialize(stay_features(spark, sf_dir), "stays")
     train, test = feature_ops.split_by_key(feats, "subject_id", 70)
-    cols = model_ops_vector_columns("regression")
+    cols = _vector_cols("regression")
     model = scoring_ops.fit_pipeline(train, cols, model_ops.regressor("decision_tree", "los", maxDepth=5))
     path = scratch_path(spark, "pipeline")
     scoring_ops.save_pipeline(model, path)
@@ -522,6 +518,18 @@ def cross_validate_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# query key -> estimator name (keys as in the operator inventory)
+CLASSIFIER_KEYS = {
+    "clf_logistic": "logistic_regression",
+    "clf_svc": "linear_svc",
+    "clf_tree": "decision_tree",
+    "clf_forest": "random_forest",
+    "clf_gbt": "gbt",
+    "clf_mlp": "multilayer_perceptron",
+    "clf_bayes": "naive_bayes",
+}
+REGRESSOR_KEYS = {"reg_gbt": "gbt", "reg_tree": "decision_tree", "reg_forest": "random_forest"}
+
 QUERIES: dict[str, Query] = {
     "stay_features": stay_features,
     "subject_features": subject_features,
@@ -562,8 +570,8 @@ QUERIES: dict[str, Query] = {
     "metric_regression": metric_regression,
     "reg_linear": reg_linear,
     "reg_glm": reg_glm,
-    **{f"clf_{n}": _single_classifier(n) for n in model_ops.CLASSIFIER_NAMES},
-    **{f"reg_{n}": _single_regressor(n) for n in ("gbt", "decision_tree", "random_forest")},
+    **{key: _single_classifier(n) for key, n in CLASSIFIER_KEYS.items()},
+    **{key: _single_regressor(n) for key, n in REGRESSOR_KEYS.items()},
     "compare_classifiers": compare_classifiers,
     "compare_regressors": compare_regressors,
     "score_batch": score_batch,
