@@ -70,16 +70,15 @@ def _value_columns(df: DataFrame, components) -> tuple[list[Column], dict[Compon
     return cols, by_comp
 
 
-def _sum_count(comp: Component, micros: str, item_col: str) -> list[Column]:
-    v = F.when(F.col(item_col).isin(list(comp.items)), F.col(micros))
+def _sum_count(comp: Component, micros: Column, item_col: str) -> list[Column]:
+    """The two partial-aggregatable columns (micro-unit sum, count) of one family."""
+    v = F.when(F.col(item_col).isin(list(comp.items)), micros)
     return [F.sum(v).alias(comp.name + SUM_SUFFIX), F.count(v).alias(comp.name + COUNT_SUFFIX)]
 
 
 def component_aggregates(df: DataFrame, comp: Component, item_col: str) -> list[Column]:
-    """The two partial-aggregatable columns (micro-unit sum, count) of one family."""
-    micros = to_micros(_value(df, comp))
-    v = F.when(F.col(item_col).isin(list(comp.items)), micros)
-    return [F.sum(v).alias(comp.name + SUM_SUFFIX), F.count(v).alias(comp.name + COUNT_SUFFIX)]
+    """``_sum_count`` of one family straight from the raw value column."""
+    return _sum_count(comp, to_micros(_value(df, comp)), item_col)
 
 
 def source_aggregate(
@@ -98,7 +97,7 @@ def source_aggregate(
     items = sorted({i for c in components for i in c.items}, key=str)
     value_cols, by_comp = _value_columns(df, components)
     rows = df.filter(F.col(item_col).isin(items)).select(subject_col, item_col, *value_cols)
-    aggs = [a for c in components for a in _sum_count(c, by_comp[c], item_col)]
+    aggs = [a for c in components for a in _sum_count(c, F.col(by_comp[c]), item_col)]
     return rows.groupBy(subject_col).agg(*aggs)
 
 

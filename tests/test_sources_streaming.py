@@ -73,3 +73,24 @@ def test_streaming_measures_match_batch(spark, scratch, clinical):
     assert got.exceptAll(batch.select(*got.columns)).count() == 0
     assert batch.select(*got.columns).exceptAll(got).count() == 0
     assert charts_only.sources() == ("charts",)
+
+
+def test_clinical_csvs_end_to_end(spark, scratch, clinical):
+    """The seven inputs as CSV files shaped like the originals (upper-case
+    headers, an extra ROW_ID column, columns in another order) give the same
+    feature table as the typed in-memory fixture."""
+    paths = {}
+    for role, df in clinical.items():
+        cols = list(reversed(df.columns))
+        out = df.select(F.monotonically_increasing_id().alias("ROW_ID"),
+                        *[F.col(c).alias(c.upper()) for c in cols])
+        path = os.path.join(scratch, f"{role}.csv")
+        out.coalesce(1).write.option("header", True).csv(path)
+        paths[role] = path
+    tables = readers.read_clinical(spark, paths, fmt="csv")
+    for role, df in tables.items():
+        assert df.schema == schemas.CLINICAL_SCHEMAS[role], role
+    got = features.stay_features(tables, CLINICAL_CATALOGUE)
+    want = features.stay_features(clinical, CLINICAL_CATALOGUE)
+    assert got.count() == 4
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
