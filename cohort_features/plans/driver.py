@@ -41,7 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     share one relation (plans still prune columns per use).
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # sessions without a local SparkContext
+        app = str(id(spark))
+    key = (app, path)
     if key not in _RELATIONS:
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
