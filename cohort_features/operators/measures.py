@@ -53,20 +53,30 @@ def _value(df: DataFrame, comp: Component) -> Column:
     raise ValueError(f"unknown transform {comp.transform!r}")
 
 
-def _value_columns(df: DataFrame, components) -> tuple[list[Column], dict[Component, str]]:
+def _value_columns(
+    df: DataFrame, components, item_col: str
+) -> tuple[list[Column], dict[Component, str]]:
     """One projected micro-unit column per distinct (value column, transform).
 
-    Text is parsed and converted once per row, however many families read it.
+    Each value is converted once per row, however many families read it, and
+    only on rows whose item some family actually reads that way: a text
+    column shared by a few items is not parsed for every other event.
     """
-    names: dict[tuple[str, str | None], str] = {}
+    all_items = {i for c in components for i in c.items}
+    groups: dict[tuple[str, str | None], list[Component]] = {}
+    for c in components:
+        groups.setdefault((c.value_col, c.transform), []).append(c)
     cols: list[Column] = []
     by_comp: dict[Component, str] = {}
-    for c in components:
-        key = (c.value_col, c.transform)
-        if key not in names:
-            names[key] = f"_m{len(names)}"
-            cols.append(to_micros(_value(df, c)).alias(names[key]))
-        by_comp[c] = names[key]
+    for n, comps in enumerate(groups.values()):
+        name = f"_m{n}"
+        micros = to_micros(_value(df, comps[0]))
+        items = {i for c in comps for i in c.items}
+        if items != all_items:
+            micros = F.when(F.col(item_col).isin(sorted(items, key=str)), micros)
+        cols.append(micros.alias(name))
+        for c in comps:
+            by_comp[c] = name
     return cols, by_comp
 
 
@@ -95,7 +105,7 @@ def source_aggregate(
     adds a conditional sum and count to the same partial aggregate.
     """
     items = sorted({i for c in components for i in c.items}, key=str)
-    value_cols, by_comp = _value_columns(df, components)
+    value_cols, by_comp = _value_columns(df, components, item_col)
     rows = df.filter(F.col(item_col).isin(items)).select(subject_col, item_col, *value_cols)
     aggs = [a for c in components for a in _sum_count(c, F.col(by_comp[c]), item_col)]
     return rows.groupBy(subject_col).agg(*aggs)
