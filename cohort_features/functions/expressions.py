@@ -129,15 +129,37 @@ def to_micros(x: Column | str) -> Column:
     return F.round(_col(x) * F.lit(MICRO)).try_cast("bigint")
 
 
+# A micro-unit value v is summed as two BIGINTs, v >> 20 and v & (2^20 - 1):
+# the low part stays below n * 2^20 and the high part below n * |v| / 2^20, so
+# neither overflows even when one subject holds ~10^12 readings, where a single
+# BIGINT sum of v would (and fail the task under ANSI mode). Both partial sums
+# are ordinary algebraic aggregates (map-side combined).
+SPLIT_BITS = 20
+
+
+def micro_sum_parts(micros: Column, name: str) -> list[Column]:
+    """The two partial sums of micro-unit values, named ``name__hi``/``__lo``."""
+    return [
+        F.sum(F.shiftright(micros, SPLIT_BITS)).alias(name + "__hi"),
+        F.sum(micros.bitwiseAND(F.lit((1 << SPLIT_BITS) - 1))).alias(name + "__lo"),
+    ]
+
+
+def micro_total(name: str) -> Column:
+    """Exact micro-unit total (DECIMAL(38,0)) from ``micro_sum_parts``."""
+    hi = F.col(name + "__hi").cast("decimal(38,0)")
+    return hi * F.lit(1 << SPLIT_BITS) + F.col(name + "__lo")
+
+
 def mean_from_micros(total: Column | str, n: Column | str) -> Column:
     """Unrounded mean from a micro-unit sum and a count; NULL when n = 0."""
-    total, n = _col(total), _col(n)
+    total, n = _col(total).cast("double"), _col(n)
     return F.when(n > 0, total / (n.cast("double") * F.lit(float(MICRO))))
 
 
 def rounded_mean_from_micros(total: Column | str, n: Column | str, digits: int) -> Column:
     """Mean rounded half-up to ``digits`` decimals, exactly (no float sum)."""
-    total, n = _col(total), _col(n)
+    total, n = _col(total).cast("double"), _col(n)
     unit = float(10 ** (MICRO_DIGITS - digits))
     return F.when(
         n > 0, F.round(total / (n.cast("double") * F.lit(unit))) / F.lit(float(10**digits))

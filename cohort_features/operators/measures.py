@@ -27,6 +27,8 @@ from cohort_features.functions.expressions import (
     fahrenheit_to_celsius,
     mean_from_micros,
     merge_truthy,
+    micro_sum_parts,
+    micro_total,
     round_half_up,
     rounded_mean_from_micros,
     safe_numeric,
@@ -34,7 +36,6 @@ from cohort_features.functions.expressions import (
     to_micros,
 )
 
-SUM_SUFFIX = "__sum"
 COUNT_SUFFIX = "__n"
 
 
@@ -83,7 +84,7 @@ def _value_columns(
 def _sum_count(comp: Component, micros: Column, item_col: str) -> list[Column]:
     """The two partial-aggregatable columns (micro-unit sum, count) of one family."""
     v = F.when(F.col(item_col).isin(list(comp.items)), micros)
-    return [F.sum(v).alias(comp.name + SUM_SUFFIX), F.count(v).alias(comp.name + COUNT_SUFFIX)]
+    return micro_sum_parts(v, comp.name) + [F.count(v).alias(comp.name + COUNT_SUFFIX)]
 
 
 def component_aggregates(df: DataFrame, comp: Component, item_col: str) -> list[Column]:
@@ -112,7 +113,7 @@ def source_aggregate(
 
 
 def _component_mean(name: str, digits: int | None) -> Column:
-    total, n = F.col(name + SUM_SUFFIX), F.col(name + COUNT_SUFFIX)
+    total, n = micro_total(name), F.col(name + COUNT_SUFFIX)
     if digits is None:
         return mean_from_micros(total, n)
     return rounded_mean_from_micros(total, n, digits)
@@ -206,10 +207,9 @@ def group_mean(
 ) -> DataFrame:
     """Grouped mean of one column (A1, or A2 with ``digits``), exact fixed point."""
     v = safe_numeric(value) if isinstance(df.schema[value].dataType, StringType) else F.col(value)
-    agg = df.groupBy(key).agg(
-        F.sum(to_micros(v)).alias("_s"), F.count(v).alias("_n")
-    )
-    mean = mean_from_micros("_s", "_n") if digits is None else rounded_mean_from_micros("_s", "_n", digits)
+    agg = df.groupBy(key).agg(*micro_sum_parts(to_micros(v), "_s"), F.count(v).alias("_n"))
+    total = micro_total("_s")
+    mean = mean_from_micros(total, "_n") if digits is None else rounded_mean_from_micros(total, "_n", digits)
     return agg.select(key, mean.alias(out))
 
 

@@ -82,11 +82,22 @@ def test_round_half_up_ties(spark):
 def test_fixed_point_means_are_exact(spark):
     # 10.1 and 12.2 average to 11.15 exactly; float sums would need luck
     df = spark.createDataFrame([(1, 10.1), (1, 12.2), (2, 0.125), (2, 0.0)], "k int, v double")
-    agg = df.groupBy("k").agg(F.sum(X.to_micros("v")).alias("s"), F.count("v").alias("n"))
-    got = {r["k"]: r["m"] for r in agg.select("k", X.rounded_mean_from_micros("s", "n", 2).alias("m")).collect()}
+    agg = df.groupBy("k").agg(*X.micro_sum_parts(X.to_micros("v"), "s"), F.count("v").alias("n"))
+    got = {r["k"]: r["m"] for r in
+           agg.select("k", X.rounded_mean_from_micros(X.micro_total("s"), "n", 2).alias("m")).collect()}
     assert got == {1: 11.15, 2: 0.06}
 
 
+def test_micro_sums_do_not_overflow(spark):
+    # 10^6 readings of 10^7 in one group: 10^19 micro-units, beyond BIGINT
+    from cohort_features.operators.measures import group_mean
+
+    df = spark.range(1_000_000).select(F.lit(1).alias("k"), F.lit(1e7).alias("v"))
+    df = df.unionByName(spark.createDataFrame([(2, -2.5), (2, 0.5)], "k int, v double"))
+    got = {r["k"]: r["m"] for r in group_mean(df, "k", "v", "m").collect()}
+    assert got == {1: 1e7, 2: -1.0}
+
+
 def test_key_bucket_is_stable(spark):
     df = spark.range(1000).select(F.col("id"), X.key_bucket("id", 100).alias("b"))
     a = df.collect()
