@@ -35,38 +35,25 @@ def safe_numeric(c: Column | str) -> Column:
     return _col(c).try_cast("double")
 
 
-def _range_lookup(number: Column, ranges: tuple) -> Column:
-    """Balanced CASE tree over sorted, disjoint (lo, hi, value) ranges.
-
-    Each row takes about log2(len(ranges)) comparisons instead of walking a
-    flat CASE chain; a number in no range (a gap) or NULL gives NULL.
-    """
-    if len(ranges) == 1:
-        lo, hi, value = ranges[0]
-        return F.when(number.between(lo, hi), F.lit(value))
-    mid = len(ranges) // 2
-    return F.when(number < F.lit(ranges[mid][0]), _range_lookup(number, ranges[:mid])).otherwise(
-        _range_lookup(number, ranges[mid:])
-    )
-
-
 def code_group(code: Column | str) -> Column:
     """Diagnosis code -> chapter 1..20 from its first three characters.
 
     Letter prefixes map directly; otherwise the three characters are read as an
     integer and looked up in the inclusive range table. Gaps, malformed text,
-    empty strings and NULL give NULL.
+    empty strings and NULL give NULL. (A flat CASE chain: a balanced CASE tree
+    was faster in isolation but slower once fused with the 20-way count
+    aggregate into one generated method.)
     """
     code = _col(code)
     head = F.substring(code, 1, 1)
     number = F.substring(code, 1, 3).try_cast("int")
-    ranges = tuple(sorted(CODE_GROUP_RANGES))
-    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:])), "ranges must be disjoint"
     out = None
     for letter, group in CODE_GROUP_LETTERS:
         cond = head == F.lit(letter)
         out = F.when(cond, F.lit(group)) if out is None else out.when(cond, F.lit(group))
-    return out.otherwise(_range_lookup(number, ranges))
+    for lo, hi, group in CODE_GROUP_RANGES:
+        out = out.when(number.between(lo, hi), F.lit(group))
+    return out
 
 
 def truthy(c: Column | str) -> Column:
