@@ -39,7 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cohort_features.functions.expressions import key_bucket
-from cohort_features.operators.metrics import accuracy, regression_metrics
+from cohort_features.operators.metrics import (
+    accuracy,
+    confusion_matrix,
+    precision_recall_f1,
+    regression_metrics,
+)
 
 # Settings used by the original application for its two deployed models.
 APP_CLASSIFIER_PARAMS = {"maxDepth": 13, "maxIter": 30}
@@ -174,6 +179,38 @@ def bake_off(
     return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
+def fit_and_report(
+    spark: SparkSession,
+    estimator: Estimator,
+    train: DataFrame,
+    test: DataFrame,
+    task: str,
+    label: str,
+    name: str,
+) -> DataFrame:
+    """Fit once and report the full evaluation as (model, metric, value) rows.
+
+    Classification: accuracy, every confusion-matrix cell (``cm_<actual>_<predicted>``)
+    and per-class precision / recall / F1; regression: RMSE, MAE, R². Only
+    the K x K cells and K per-class rows reach the driver.
+    """
+    start = time.perf_counter()
+    model = estimator.fit(train)
+    pred = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = [(name, k, v) for k, v in evaluate(pred, task, label).items()]
+        if task == "classification":
+            for c in confusion_matrix(pred, label).collect():
+                rows.append((name, f"cm_{c['label']:g}_{c['prediction']:g}", float(c["n"])))
+            for c in precision_recall_f1(pred, label).collect():
+                for k in ("precision", "recall", "f1"):
+                    rows.append((name, f"{k}_{c['class']:g}", None if c[k] is None else float(c[k])))
+    finally:
+        pred.unpersist()
+    rows.append((name, "seconds", time.perf_counter() - start))
+    return spark.createDataFrame(rows, METRIC_SCHEMA)
+
+
 def param_grid(estimator: Estimator, grid: dict[str, list]) -> list[dict]:
     """``ParamGridBuilder`` over named params of ``estimator``."""
     builder = ParamGridBuilder()
