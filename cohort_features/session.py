@@ -34,6 +34,31 @@ SCALE_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(
+    largest_shuffle_bytes: int,
+    total_cores: int,
+    target_partition_bytes: int = 128 * 1024**2,
+    scan_split_bytes: int = 256 * 1024**2,
+) -> dict[str, str]:
+    """Partition sizing for a cluster run, to pass as ``build_session(extra=...)``.
+
+    ``spark.sql.shuffle.partitions`` is the count AQE coalesces *down* from,
+    so it must be large enough for the biggest shuffle: bytes / target size,
+    and at least three waves of the cluster's cores. For the stay table of a
+    100 TB event store (say 3 TB shuffled) on 1000 x 8 cores this gives
+    ~24,000 partitions of ~128 MB, each sorted and joined within one task's
+    memory; smaller shuffles are coalesced to the advisory size at runtime.
+    Scans use larger splits (fewer, longer tasks over columnar files).
+    """
+    partitions = max(3 * total_cores, -(-largest_shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+    }
+
+
 def build_session(
     master: str | None = "local[8]",
     shuffle_partitions: int = 8,

@@ -104,3 +104,12 @@ def test_key_bucket_is_stable(spark):
     b = df.repartition(7).orderBy("id").collect()
     assert a == b
     assert all(0 <= r["b"] < 100 for r in a)
+
+
+def test_cluster_conf_sizes_partitions():
+    from cohort_features.session import cluster_conf
+
+    conf = cluster_conf(3 * 1024**4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 24576
+    small = cluster_conf(10 * 1024**2, 64)
+    assert int(small["spark.sql.shuffle.partitions"]) == 192  # three waves of cores
