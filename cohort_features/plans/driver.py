@@ -78,7 +78,8 @@ def patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines_by_subject(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
+def lines_by_subject(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
+    """Line items with the subject (customer) of their order attached."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", *cols)
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("subject_id")
@@ -100,7 +101,7 @@ def diagnosis_code(partkey: F.Column, linenumber: F.Column) -> F.Column:
 
 
 def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_by_subject(spark, sf_dir, ["l_partkey", "l_linenumber"])
+    lines = lines_by_subject(spark, sf_dir, ["l_partkey", "l_linenumber"])
     return lines.select(
         "subject_id", diagnosis_code(F.col("l_partkey"), F.col("l_linenumber")).alias("icd9_code")
     )
@@ -117,7 +118,7 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity"])
+    lines = lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity"])
     return lines.select(
         "subject_id",
         F.concat("l_returnflag", "l_linestatus").alias("itemid"),

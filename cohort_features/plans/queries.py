@@ -156,7 +156,7 @@ def ratio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J5 + E8: per customer, mean quantity of returned-'A' lines over the
     cent-rounded mean discount of 'R' lines (discount counted only on
     status-F lines); zero denominators give NULL."""
-    lines = driver._lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
+    lines = driver.lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity", "l_discount"])
     num = measure_ops.group_mean(
         lines.filter(F.col("l_returnflag") == "A"), "subject_id", "l_quantity", "avg_qty"
     )
