@@ -54,3 +54,28 @@ def test_split_random_seeded(spark):
     a = [s.count() for s in features.split_random(df, (0.7, 0.3), seed=3)]
     b = [s.count() for s in features.split_random(df, (0.7, 0.3), seed=3)]
     assert a == b and sum(a) == 5000
+
+
+def test_code_counts_equal_collect_then_count(spark):
+    """A4 equivalence: 20 count_if columns == collect each subject's chapter
+    list, then count each chapter in the list (the literal form)."""
+    from cohort_features.functions.catalog import CODE_COUNT_COLUMNS
+    from cohort_features.functions.expressions import code_group
+    from cohort_features.plans import driver
+    from tests.conftest import SF_SMALL
+
+    dx = driver.diagnoses(spark, SF_SMALL)
+    ours = cohort.code_counts(dx)
+    lists = dx.dropna(subset=["icd9_code"]).groupBy("subject_id").agg(
+        F.collect_list(code_group("icd9_code")).alias("groups")
+    )
+    def equals(i):  # one-argument lambda: two arguments would mean (element, index)
+        return lambda g: g == i
+
+    literal = lists.select(
+        "subject_id",
+        *[F.size(F.filter("groups", equals(i))).cast("long").alias(c)
+          for i, c in enumerate(CODE_COUNT_COLUMNS, start=1)],
+    )
+    assert ours.count() == literal.count() > 0
+    assert ours.exceptAll(literal).count() == 0 and literal.exceptAll(ours).count() == 0
