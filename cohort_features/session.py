@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library should carry. AQE re-plans joins at
 # runtime from real sizes (broadcast only when the measured side is small),
-# coalesces small shuffle partitions and splits skewed join partitions, which
-# is how a subject holding a third of all events stays spread over many tasks.
+# coalesces small shuffle partitions and splits skewed join partitions: the
+# stays of a subject holding a third of all rows are joined by many tasks.
+# (That subject's events never need splitting: they are pre-aggregated per
+# map task before any shuffle.)
 SCALE_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
