@@ -1,9 +1,11 @@
 """Every operator wired over the driver tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
-Each function reads whole tables and returns a DataFrame; none collects rows.
-The matching DuckDB SQL lives in ``plans.oracle`` under the same name, with
-identical column names. Model queries (rows-only check) fit on the full
-feature table of the given scale with fixed seeds and entity-whole splits.
+Each function reads whole tables and returns a DataFrame. No table rows pass
+through the driver: ``one_hot`` reads only its (refused-if-large) category
+vocabulary, and model queries only their scalar metrics. The matching DuckDB
+SQL lives in ``plans.oracle`` under the same name, with identical column
+names. Model queries (rows-only check) fit on the full feature table of the
+given scale with fixed seeds and entity-whole splits.
 """
 
 from __future__ import annotations
