@@ -60,10 +60,17 @@ def feature_vectors(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """(``keep`` columns, features, label) for ``task`` in {"classification",
-    "regression"}; the label is a double, as ``pyspark.ml`` expects."""
+    "regression"}; the label is a double, as ``pyspark.ml`` expects.
+
+    Rows reach this point from shuffles in no fixed order; each partition is
+    sorted locally on every model input (rows equal on all of them are
+    interchangeable), so a table written from here, and the seeded
+    order-sensitive learners fed from it, are reproducible. No shuffle.
+    """
     label = CLASSIFICATION_LABEL if task == "classification" else REGRESSION_LABEL
     cols = vector_columns(catalogue, task)
-    vec = assemble(complete_cases(features, cols + [label]), cols)
+    rows = complete_cases(features, cols + [label]).sortWithinPartitions(*keep, label, *cols)
+    vec = assemble(rows, cols)
     return vec.select(*keep, "features", F.col(label).cast("double").alias(label))
 
 

@@ -420,11 +420,6 @@ def _training_sets(spark: SparkSession, sf_dir: str, task: str) -> tuple[DataFra
     checkpoint folder, split 70/30 by a hash of the subject."""
     ensure_checkpoint_dir(spark)
     feats = stay_features(spark, sf_dir)
-    # rows arrive from shuffles in no fixed order; a local sort on every input
-    # (rows equal on all of them are interchangeable) makes the written table,
-    # and so seeded order-sensitive learners (forest bootstrap), reproducible
-    label = "expire_flag" if task == "classification" else "los"
-    feats = feats.sortWithinPartitions("subject_id", "hadm_id", label, *_vector_cols(task))
     vec = feature_ops.feature_vectors(feats, task, driver.DRIVER_CATALOGUE, keep=("subject_id",))
     vec = materialize(vec, f"vectors-{task}")
     return feature_ops.split_by_key(vec, "subject_id", 70)
