@@ -85,40 +85,38 @@ def build_session(
     return spark
 
 
-def _session_checkpoint_dir(spark: SparkSession) -> str | None:
-    configured = spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    return spark.conf.get("spark.checkpoint.dir", None) or None
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Library code never invents a machine-local folder: on a cluster a local
-    path would vanish with the executor that wrote it.
+    path would vanish with the executor that wrote it. (Spark places each
+    application's checkpoints in a fresh subfolder of the configured one, so
+    the folder is set once per context, never re-set.)
     """
-    found = _session_checkpoint_dir(spark)
-    if not found:
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a shared folder "
             "(e.g. an object-store prefix) visible to every executor"
         )
-    spark.sparkContext.setCheckpointDir(found)
-    return found
+    spark.sparkContext.setCheckpointDir(configured)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; only a single-machine session
     (``local`` master, as in tests and the local bench) without one gets a
     scratch folder. A cluster session without one is an error."""
-    found = _session_checkpoint_dir(spark)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            return checkpoint_dir(spark)  # raises with the explanation
-        found = tempfile.mkdtemp(prefix="cohort-ckpt-")
-    spark.sparkContext.setCheckpointDir(found)
-    return found
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohort-ckpt-"))
+        return spark.sparkContext.getCheckpointDir()
+    return checkpoint_dir(spark)  # uses the configured folder, or raises
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
