@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_features.llm import exact, lines, minhash, packing, sketch, substring
+from cohort_features.llm import exact, language, lines, minhash, mixing, packing, pii, quality, sketch, substring
 from cohort_features.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,29 @@ def op6_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir)).drop("rid")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated quality scores; a fifth of the labels is held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score_quality(documents(spark, sf_dir), labels).drop("rid")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn to the target weights, as many tokens as there are."""
+    out = mixing.mix(documents(spark, sf_dir))
+    leaf = [F.col("mix_leaf")[i].alias(name) for i, name in enumerate(mixing.LEVELS)]
+    return out.select("doc_id", *leaf, F.col("mix_epoch").cast("long").alias("epoch"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every text, and its mixture."""
+    return language.identify(documents(spark, sf_dir))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data spans of every text."""
+    return pii.find_pii(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_packing": op2_packing,
@@ -52,4 +75,8 @@ QUERIES: dict[str, Query] = {
     "op4_minhash": op4_minhash,
     "op5_sketch": op5_sketch,
     "op6_exact": op6_exact,
+    "op7_quality": op7_quality,
+    "op8_mixing": op8_mixing,
+    "op9_language": op9_language,
+    "op10_pii": op10_pii,
 }
