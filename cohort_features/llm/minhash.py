@@ -156,57 +156,3 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     drop(members, wanted, payload)
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))
     return out.withColumn("kept", kept).withColumn("stays", F.coalesce(F.col("first") == F.col("rid"), F.lit(True))).drop("first")
-
-
-def sketches(rows: DataFrame, shingle: int) -> DataFrame:
-    """(rid, doc_id, text) to (rid, doc_id, n_shingles, set_key, bands)."""
-
-    def run(it):
-        for rid, doc_id, text in it:
-            s = shingle_set(text, shingle)
-            if len(s):
-                yield rid, doc_id, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), band_keys(registers(s)).tolist()
-            else:
-                yield rid, doc_id, 0, None, []
-
-    return map_rows(rows.select("rid", "doc_id", "text"), run, "rid long, doc_id long, n_shingles long, set_key binary, bands array<long>")
-
-
-def set_payload(numbered_docs: DataFrame, shingle: int) -> DataFrame:
-    """(rid, text) to (id, payload): registers and the full set."""
-
-    def run(rows):
-        for rid, text in rows:
-            s = shingle_set(text, shingle)
-            yield rid, registers(s).tobytes() + s.tobytes()
-
-    return map_rows(numbered_docs.select("rid", "text"), run, "id long, payload binary")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: rid, doc_id, n_shingles, component_id (smallest
-    doc_id of its group), kept (doc_id is that id), and stays (true for one row
-    of each group and for every document with an empty set). ``docs`` must be
-    a stored table."""
-    rows = numbered(docs, "doc_id", "text")
-    made = store(sketches(rows, shingle), "sketches")
-    n = made.count()
-    sets = made.filter("n_shingles > 0")
-    classes = store(with_group(sets.select("rid", "doc_id", "set_key"), "set_key", [F.min("rid").alias("id")], rows=n), "classes")
-    reps = sets.join(classes.filter("rid = id").select("rid"), "rid", "left_semi")
-    keys = reps.select(F.col("rid").alias("id"), F.posexplode("bands").alias("band", "key"))
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    members = store(keys.join(shared, "key", "left_semi"), "members")
-    wanted = store(members.select(F.col("id").alias("rid")).distinct(), "wanted")
-    k = wanted.count()
-    few = F.broadcast(wanted) if k <= BROADCAST_ROWS else wanted
-    payload = store(set_payload(rows.join(few, "rid", "left_semi"), shingle), "sets")
-    comps = connect(members, payload, SetMatcher(percent))
-    grouped = store(
-        classes.join(comps, "id", "left").select("rid", "doc_id", F.coalesce("comp", "id").alias("comp")), "grouped"
-    )
-    named = with_group(grouped, "comp", [F.min("doc_id").alias("component_id")], rows=n).select("rid", "component_id")
-    out = made.select("rid", "doc_id", "n_shingles").join(named, "rid", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    drop(members, wanted, payload)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

@@ -1,0 +1,89 @@
+"""Small document tables, stored as Parquet as the operators expect."""
+
+from __future__ import annotations
+
+import random
+import tempfile
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def stored(spark, rows, schema=SCHEMA, files=2):
+    path = tempfile.mkdtemp(prefix="llm-docs-") + "/documents.parquet"
+    spark.createDataFrame(rows, schema).repartition(files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def words(rng: random.Random, n: int, vocabulary: int = 4000) -> list[str]:
+    return [f"w{rng.randrange(vocabulary):x}" for _ in range(n)]
+
+
+def edited(rng: random.Random, text: list[str], changes: int) -> list[str]:
+    out = list(text)
+    for _ in range(changes):
+        out[rng.randrange(len(out))] = f"e{rng.randrange(10**6)}"
+    return out
+
+
+def corpus(seed: int = 3, docs: int = 60) -> list[tuple]:
+    """Originals, exact copies, near copies of rising distance, and passages
+    shared by otherwise different documents."""
+    rng = random.Random(seed)
+    rows: list[tuple] = []
+    passage = words(rng, 60)
+    for i in range(docs):
+        base = words(rng, rng.randrange(5, 160))
+        if i % 6 == 1:
+            at = rng.randrange(len(base))
+            base = base[:at] + passage + base[at:]
+        lines = [" ".join(base[k : k + 25]) for k in range(0, len(base), 25)]
+        rows.append("\n".join(lines))
+        if i % 5 == 0:
+            rows.append("\n".join(lines))
+        if i % 3 == 0:
+            rows += ["\n".join(" ".join(edited(rng, x.split(), c if len(x.split()) > 10 else 0)) for x in lines) for c in (0, 1, 2)]
+    rng.shuffle(rows)
+    langs = ["en", "de", "fr"]
+    return [(i, t, langs[i % 3], f"src{i % 7}", len(t)) for i, t in enumerate(rows)]
+
+
+#: null ids and texts, empty and white-space texts, repeated rows, null
+#: metadata, a long text and columns whose names clash with working columns
+EDGE_SCHEMA = SCHEMA + ", rid long, id long, key string, comp string, doc string, n int, u long, part string, name string, mix_leaf string, spans string"
+
+
+def edge_rows() -> list[tuple]:
+    extra = (7, 8, "k", "c", "d", 9, 10, "p", "x", "m", "s")
+    long = " ".join(words(random.Random(5), 60_000))
+    some = "one two three four five six seven eight nine ten\nalpha beta gamma delta epsilon zeta"
+    rows = [
+        (None, some, "en", "src1", 5),
+        (None, None, None, None, None),
+        (1, None, "en", "src1", 0),
+        (2, "", "de", None, 0),
+        (3, " \n\t ", None, "src2", 4),
+        (4, "a", "en", "src1", 1),
+        (5, long, "fr", "src3", len(long)),
+        (6, some, "en", "src1", len(some)),
+        (6, some, "en", "src1", len(some)),
+        (7, some, "en", "src1", len(some)),
+        (8, "été à Ünïcode 漢字 \U0001f600 mail a.b@c.example.com +1 (988) 555-2485", "fr", "src2", 60),
+    ]
+    return [r + extra for r in rows]
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return stored(spark, corpus())
+
+
+@pytest.fixture(scope="session")
+def edge(spark):
+    return stored(spark, edge_rows(), EDGE_SCHEMA)
+
+
+@pytest.fixture(scope="session")
+def empty(spark):
+    return stored(spark, [], EDGE_SCHEMA, 1)
