@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from cohort_features.llm.common import HOT_ROWS, drop, numbered, store, text_or_empty, with_group
 
 BLOCK = 1024
+NONE = -(2**63)  # stands for the missing second half of a last pair; never a name
 
 
 def blocks(text: Column, size: int = BLOCK) -> Column:
@@ -37,26 +38,20 @@ def blocks(text: Column, size: int = BLOCK) -> Column:
 def named(rows: DataFrame, key: list[str], total: int) -> DataFrame:
     """``rows`` with ``name``: one integer per distinct value of ``key``.
 
-    Names are positive for ordinary contents, negative for hot ones. The
-    result must be stored before it is used twice."""
-    ordinary = rows.groupBy(*key).agg(F.lit(1).alias("_one")).drop("_one").sortWithinPartitions(*key)
-    ordinary = ordinary.withColumn("name", F.monotonically_increasing_id())
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in key]
-
-    def lookup(left: DataFrame, names: DataFrame) -> DataFrame:
-        on = same[0]
-        for c in same[1:]:
-            on = on & c
-        return left.alias("l").join(names.alias("r"), on).select("l.*", "r.name")
+    Names are positive for ordinary contents, negative for hot ones. ``key``
+    must not be null. The result must be stored before it is used twice."""
+    def distinct(some: DataFrame) -> DataFrame:
+        values = some.groupBy(*key).agg(F.lit(1).alias("_one")).drop("_one").sortWithinPartitions(*key)
+        return values.withColumn("name", F.monotonically_increasing_id())
 
     limit = max(HOT_ROWS, total // 1000)
     if total <= limit:
-        return lookup(rows, ordinary)
+        return rows.join(distinct(rows), key)
     digest = F.xxhash64(*key)
     spark = rows.sparkSession
     hot = rows.groupBy(digest.alias("_h")).count().filter(F.col("count") > limit).select("_h").collect()  # at most 1000
     if not hot:
-        return lookup(rows, ordinary)
+        return rows.join(distinct(rows), key)
     hashes = F.broadcast(spark.createDataFrame(hot, "_h long"))
     marked = rows.withColumn("_h", digest)
     often = marked.join(hashes, "_h", "left_semi").drop("_h")
@@ -64,10 +59,7 @@ def named(rows: DataFrame, key: list[str], total: int) -> DataFrame:
     schema = often.select(*key, F.lit(1).cast("long").alias("name")).schema
     names = spark.createDataFrame([(*v, -1 - i) for i, v in enumerate(values)], schema)
     seldom = marked.join(hashes, "_h", "left_anti").drop("_h")
-    distinct = seldom.groupBy(*key).agg(F.lit(1).alias("_one")).drop("_one").sortWithinPartitions(*key)
-    return lookup(often, F.broadcast(names)).unionByName(
-        lookup(seldom, distinct.withColumn("name", F.monotonically_increasing_id()))
-    )
+    return often.join(F.broadcast(names), key).unionByName(seldom.join(distinct(seldom), key))
 
 
 def identities(docs: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -86,7 +78,7 @@ def identities(docs: DataFrame, size: int = BLOCK) -> DataFrame:
         depth += 1
         pairs = rest.groupBy("rid", F.expr("i div 2").alias("i")).agg(
             F.max(F.expr("IF(i % 2 = 0, name, null)")).alias("a"),
-            F.max(F.expr("IF(i % 2 = 1, name, null)")).alias("b"),
+            F.coalesce(F.max(F.expr("IF(i % 2 = 1, name, null)")), F.lit(NONE)).alias("b"),
             F.max(F.expr("(n + 1) div 2")).alias("n"),
         )
         pairs = store(pairs, "pairs")
