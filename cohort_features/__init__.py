@@ -10,6 +10,6 @@ plans      the operators wired over the driver test tables (query register + SQL
 streaming  the measure aggregation over a ``readStream`` source
 """
 
-from cohort_features.session import build_session, checkpoint_dir, materialize
+from cohort_features.session import build_session, materialize, shared_dir
 
-__all__ = ["build_session", "checkpoint_dir", "materialize"]
+__all__ = ["build_session", "materialize", "shared_dir"]

@@ -127,7 +127,9 @@ class Component:
 
     ``transform`` is applied per row before averaging: ``None``,
     ``"f_to_c"`` (Fahrenheit to Celsius, 0 treated as missing) or
-    ``"percent"`` (divide by 100).
+    ``"percent"`` (divide by 100). ``scale`` declares that the transformed
+    values have at most that many decimals, which are then summed exactly
+    (see ``expressions.mean``); by default the mean is Spark's ``avg``.
     """
 
     name: str
@@ -135,6 +137,7 @@ class Component:
     items: tuple
     value_col: str = "value"
     transform: str | None = None
+    scale: int | None = None
 
 
 @dataclass(frozen=True)

@@ -19,13 +19,6 @@ from cohort_features.functions.catalog import (
     MALE_CODE,
 )
 
-# Fixed-point accumulation: measure values are summed as integer multiples of
-# 10**-MICRO_DIGITS. Integer sums are exact and associative, so a mean is the
-# same double on every partitioning, retry and engine; float sums are not.
-MICRO_DIGITS = 6
-MICRO = 10**MICRO_DIGITS
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -77,11 +70,10 @@ def merge_truthy(a: Column | str, b: Column | str) -> Column:
 def round_half_up(x: Column | str, digits: int) -> Column:
     """Round a double to ``digits`` decimals, ties away from zero.
 
-    Computed as round(x * 10^d) / 10^d: rounding at precision 0 is exact in
-    every engine, so the same double input gives the same output everywhere.
+    The tie is judged on the double's shortest decimal text (1.005 -> 1.01),
+    which is what Spark's ``round`` does.
     """
-    scale = 10**digits
-    return F.round(_col(x) * F.lit(scale)) / F.lit(scale)
+    return F.round(_col(x), digits)
 
 
 def safe_ratio(num: Column | str, den: Column | str) -> Column:
@@ -107,56 +99,30 @@ def binary_code(sex: Column | str, one_of: str = MALE_CODE) -> Column:
     return F.when(_col(sex) == F.lit(one_of), F.lit(0)).otherwise(F.lit(1))
 
 
-def to_micros(x: Column | str) -> Column:
-    """Double -> exact integer count of 10**-6 units (for exact sums).
+def mean(v: Column | str, scale: int | None = None) -> Column:
+    """Aggregate: mean of the non-NULL values; NULL if there are none.
 
-    NaN, infinities and magnitudes beyond 9.2e12 have no integer form and
-    become NULL, i.e. they are treated as missing readings.
+    By default Spark's ``avg`` over doubles: every value counts, NaN and
+    infinities as IEEE arithmetic has them. With ``scale`` (for columns
+    declared to hold at most that many decimals, such as money) the values are
+    summed exactly as DECIMAL, so the mean is the same double on every
+    partitioning, retry and engine; a value with no DECIMAL(28, scale) form
+    (NaN, infinite, 10^(28-scale) or more) fails the query instead of leaving
+    the mean.
     """
-    return F.round(_col(x) * F.lit(MICRO)).try_cast("bigint")
-
-
-# A micro-unit value v is summed as two BIGINTs, v >> 20 and v & (2^20 - 1):
-# the low part stays below n * 2^20 and the high part below n * |v| / 2^20, so
-# neither overflows even when one subject holds ~10^12 readings, where a single
-# BIGINT sum of v would (and fail the task under ANSI mode). Both partial sums
-# are ordinary algebraic aggregates (map-side combined).
-SPLIT_BITS = 20
-
-
-def micro_sum_parts(micros: Column, name: str) -> list[Column]:
-    """The two partial sums of micro-unit values, named ``name__hi``/``__lo``."""
-    return [
-        F.sum(F.shiftright(micros, SPLIT_BITS)).alias(name + "__hi"),
-        F.sum(micros.bitwiseAND(F.lit((1 << SPLIT_BITS) - 1))).alias(name + "__lo"),
-    ]
-
-
-def micro_total(name: str) -> Column:
-    """Exact micro-unit total (DECIMAL(38,0)) from ``micro_sum_parts``."""
-    hi = F.col(name + "__hi").cast("decimal(38,0)")
-    return hi * F.lit(1 << SPLIT_BITS) + F.col(name + "__lo")
-
-
-def mean_from_micros(total: Column | str, n: Column | str) -> Column:
-    """Unrounded mean from a micro-unit sum and a count; NULL when n = 0."""
-    total, n = _col(total).cast("double"), _col(n)
-    return F.when(n > 0, total / (n.cast("double") * F.lit(float(MICRO))))
-
-
-def rounded_mean_from_micros(total: Column | str, n: Column | str, digits: int) -> Column:
-    """Mean rounded half-up to ``digits`` decimals, exactly (no float sum)."""
-    total, n = _col(total).cast("double"), _col(n)
-    unit = float(10 ** (MICRO_DIGITS - digits))
-    return F.when(
-        n > 0, F.round(total / (n.cast("double") * F.lit(unit))) / F.lit(float(10**digits))
-    )
+    v = _col(v)
+    if scale is None:
+        return F.avg(v.cast("double"))
+    no_form = F.isnan(v.cast("double")) | (F.abs(v.cast("double")) == F.lit(float("inf")))
+    exact = F.when(no_form, F.raise_error(F.lit("NaN or infinite value in a column with a declared scale"))).otherwise(v.cast(f"decimal(28,{scale})"))
+    return F.try_divide(F.sum(exact).cast("double"), F.count(exact))
 
 
 def array_slots(arr: Column | str, n: int, prefix: str, start: int = 0) -> list[Column]:
-    """First ``n`` elements of an array column as ``prefix{i}`` columns."""
+    """First ``n`` elements of an array column as ``prefix{i}`` columns (P6);
+    NULL for slots that a shorter array does not have."""
     arr = _col(arr)
-    return [arr[i].alias(f"{prefix}{i + start}") for i in range(n)]
+    return [F.get(arr, F.lit(i)).alias(f"{prefix}{i + start}") for i in range(n)]
 
 
 def one_hot(c: Column | str, categories: list, prefix: str) -> list[Column]:

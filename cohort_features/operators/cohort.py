@@ -2,18 +2,15 @@
 
 Join order is chosen for scale. Everything keyed by subject (patients, code
 counts, measures) is unique per subject, so those tables are joined to each
-other first on their shared hash partitioning; the stay-level table
-(admissions x stays) meets that subject table once. The only joins that can
-see a hot key are the stay-level ones (a subject, or an admission, holding a
-third of all rows), and there the other side holds one row per key.
-
-AQE splits a skewed join partition only when both join inputs are plain
-shuffles of scanned data; a subject table built from joins of aggregates is
-not. ``cut_subjects=True`` therefore writes the subject table (one row per
-subject, far smaller than the stays) to the checkpoint folder first: the
-lineage is cut, and the stay-level join reads it through an ordinary shuffle
-that AQE can split against the hot stay partition (or broadcast, when the
-written table is measured to be small).
+other first on their shared hash partitioning. Admissions meet stays on narrow
+rows (five columns), and the wide subject table is attached last, once.
+
+The last join is where a hot subject (a third of all stays) lands. It runs on
+(subject, salt): a stay's salt comes from its admission, and each subject's
+one row is repeated for the ``SALTS`` salts. The hot subject is thereby dealt
+to several tasks, and as both join inputs are then plain shuffles, AQE can
+split its partitions further. Nothing is written and no job runs while the
+plan is built.
 """
 
 from __future__ import annotations
@@ -21,10 +18,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort_features.functions.catalog import CODE_COUNT_COLUMNS, N_CODE_GROUPS
+from cohort_features.functions.catalog import CODE_COUNT_COLUMNS
 from cohort_features.functions.expressions import age_years, binary_code, code_group
-from cohort_features.session import materialize
+from cohort_features.operators.measures import chapter_counts
 
+SALTS = 4
 STAY_COLUMNS = ("subject_id", "hadm_id", "gender", "los", "age", "expire_flag")
 
 
@@ -41,12 +39,7 @@ def code_counts(
     grouped = diagnoses.dropna(subset=[code_col]).select(
         subject_col, code_group(F.col(code_col)).alias("_group")
     )
-    return grouped.groupBy(subject_col).agg(
-        *[
-            F.count_if(F.col("_group") == F.lit(i)).alias(CODE_COUNT_COLUMNS[i - 1])
-            for i in range(1, N_CODE_GROUPS + 1)
-        ]
-    )
+    return grouped.groupBy(subject_col).agg(*chapter_counts("_group"))
 
 
 def collect_codes(
@@ -69,20 +62,29 @@ def collect_codes(
 
 def subject_table(
     patients: DataFrame,
-    diagnoses: DataFrame,
+    diagnoses: DataFrame | None,
     extra: DataFrame | None = None,
     subject_col: str = "subject_id",
 ) -> DataFrame:
     """Per-subject attributes: birth date, sex code input, chapter counts and,
-    optionally, per-subject measures (all unique per subject)."""
-    subj = patients.select(subject_col, "dob", "gender").join(
-        code_counts(diagnoses, subject_col), on=subject_col, how="inner"
-    )
+    optionally, per-subject measures (all unique per subject). ``diagnoses``
+    is None when ``extra`` already holds the chapter counts."""
+    subj = patients.select(subject_col, "dob", "gender")
+    if diagnoses is not None:
+        subj = subj.join(code_counts(diagnoses, subject_col), on=subject_col, how="inner")
     if extra is not None:
         subj = subj.join(extra, on=subject_col, how="inner")
     return subj
 
 
+def salted_join(rows: DataFrame, unique: DataFrame, key: str, spread: str, salts: int = SALTS) -> DataFrame:
+    """Inner join of many rows per ``key`` with a table that has one: the rows
+    of a hot key are dealt to ``salts`` tasks by a hash of ``spread``."""
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, on=[key, "_salt"], how="inner").drop("_salt")
+
+
 def stay_table(admissions: DataFrame, icu_stays: DataFrame) -> DataFrame:
     """Admissions x ICU stays on the admission key (J1): one row per stay."""
     adm = admissions.select("subject_id", "hadm_id", "admittime", "hospital_expire_flag")
@@ -99,30 +101,23 @@ def stay_cohort(
     admissions: DataFrame,
     icu_stays: DataFrame,
     patients: DataFrame,
-    diagnoses: DataFrame,
+    diagnoses: DataFrame | None,
     subject_extra: DataFrame | None = None,
-    cut_subjects: bool = True,
 ) -> DataFrame:
     """One row per ICU stay with age, sex code, outcome, stay length and the
     subject's 20 chapter counts (J1-J3, E5, E6, A4).
 
     The outcome is ``hospital_expire_flag`` and the sex code comes from
     ``gender``, each under its own name. ``subject_extra`` (e.g. the subject
-    measures) is joined at subject level before the stay-level join;
-    ``cut_subjects`` materialises that subject table (see module notes).
+    measures) is joined at subject level before the stay-level join.
     """
     subj = subject_table(patients, diagnoses, subject_extra)
-    if cut_subjects:
-        subj = materialize(subj, "subjects")
-    adm = admissions.select("subject_id", "hadm_id", "admittime", "hospital_expire_flag")
-    extra_cols = [c for c in subj.columns if c not in ("subject_id", "dob", "gender") and c not in CODE_COUNT_COLUMNS]
-    joined = adm.join(subj, on="subject_id", how="inner").join(
-        icu_stays.select("hadm_id", "los"), on="hadm_id", how="inner"
-    )
+    known = ("subject_id", "dob", "gender", *CODE_COUNT_COLUMNS)
+    joined = salted_join(stay_table(admissions, icu_stays), subj, "subject_id", "hadm_id")
     return joined.select(
         "subject_id",
         "hadm_id",
-        *extra_cols,
+        *[c for c in subj.columns if c not in known],
         binary_code(F.col("gender")).alias("gender"),
         F.col("los"),
         age_years(F.col("admittime"), F.col("dob")).alias("age"),

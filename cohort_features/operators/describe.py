@@ -24,26 +24,24 @@ def long_form(df: DataFrame, key: str | list[str], cols: list[str]) -> DataFrame
 def describe(long_df: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Attach a description to every long-form feature row.
 
-    The dimension has one row per known feature (a few dozen, independent of
-    the data size), so it is broadcast: the long table is never shuffled.
+    The dimension has one row per known feature, so Spark broadcasts it by its
+    size; a caller's larger dimension is shuffled.
     """
-    return long_df.join(F.broadcast(descriptions), on="feature", how="inner")
+    return long_df.join(descriptions, on="feature", how="inner")
 
 
-def one_hot_columns(
-    df: DataFrame, col: str, prefix: str | None = None, max_categories: int = 1000
-) -> DataFrame:
-    """Add one 0/1 column per distinct non-NULL value of ``col`` (sorted).
+def one_hot_rows(df: DataFrame, key: str | list[str], col: str) -> DataFrame:
+    """One-hot encoding in sparse form: (key, category, value 1) for every
+    non-NULL value of ``col``; all other categories of a row are 0.
 
-    Only the distinct vocabulary (a partial/final aggregate) reaches the
-    driver; a column with more than ``max_categories`` values is refused
-    rather than truncated, as it is not a categorical feature.
+    No vocabulary is collected and no limit set on it: the table has one row
+    per input row however many categories there are. ``one_hot_columns`` gives
+    the wide form for categories the caller names.
     """
-    vocab = (
-        df.select(col).where(F.col(col).isNotNull()).distinct()
-        .orderBy(col).limit(max_categories + 1).collect()
-    )
-    if len(vocab) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} distinct values")
-    cats = [r[0] for r in vocab]
-    return df.select("*", *one_hot(F.col(col), cats, prefix if prefix is not None else f"{col}_"))
+    keys = [key] if isinstance(key, str) else list(key)
+    return df.where(F.col(col).isNotNull()).select(*keys, F.col(col).alias("category"), F.lit(1).alias("value"))
+
+
+def one_hot_columns(df: DataFrame, col: str, categories: list, prefix: str | None = None) -> DataFrame:
+    """Add one 0/1 column per named category of ``col``."""
+    return df.select("*", *one_hot(F.col(col), categories, prefix if prefix is not None else f"{col}_"))

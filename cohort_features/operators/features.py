@@ -14,7 +14,7 @@ from cohort_features.functions.catalog import (
     MeasureCatalogue,
     vector_columns,
 )
-from cohort_features.functions.expressions import key_bucket
+from cohort_features.functions.expressions import array_slots, key_bucket
 from cohort_features.operators.cohort import stay_cohort
 from cohort_features.operators.measures import subject_measures
 
@@ -28,22 +28,24 @@ def stay_features(
     tables: dict[str, DataFrame],
     catalogue: MeasureCatalogue = CLINICAL_CATALOGUE,
     item_col: str = "itemid",
+    code_source: str | None = None,
 ) -> DataFrame:
     """The full feature table: one row per ICU stay, every measure of the
     stay's subject, cohort attributes and chapter counts, complete cases only.
 
     ``tables`` holds the seven clinical roles: admissions, icu_stays,
     patients, diagnoses and the event tables named by the catalogue's
-    sources (charts, labs, outputs). The per-subject table is written under
-    ``spark.checkpoint.dir`` before it meets the stays (skew-splittable,
-    lineage cut), so that setting must name a shared folder.
+    sources (charts, labs, outputs). Where one of those sources carries the
+    diagnosis codes itself, in ``icd9_code``, ``code_source`` names it and
+    ``diagnoses`` is not read: counts and measures share one aggregate.
     """
     measures = subject_measures(
-        {s: tables[s] for s in catalogue.sources()}, catalogue, item_col=item_col, complete=True
+        {s: tables[s] for s in catalogue.sources()}, catalogue, item_col=item_col, complete=True,
+        code_source=code_source,
     )
     cohort = stay_cohort(
-        tables["admissions"], tables["icu_stays"], tables["patients"], tables["diagnoses"],
-        subject_extra=measures,
+        tables["admissions"], tables["icu_stays"], tables["patients"],
+        None if code_source else tables["diagnoses"], subject_extra=measures,
     )
     return complete_cases(cohort)
 
@@ -77,7 +79,7 @@ def feature_vectors(
 def vector_slots(df: DataFrame, col: str, n: int, prefix: str = "f") -> DataFrame:
     """Vector column -> ``n`` double columns (dense and sparse rows alike)."""
     arr = vector_to_array(F.col(col))
-    return df.select(*[c for c in df.columns if c != col], *[arr[i].alias(f"{prefix}{i}") for i in range(n)])
+    return df.select(*[c for c in df.columns if c != col], *array_slots(arr, n, prefix))
 
 
 def split_flag(
@@ -101,7 +103,10 @@ def split_by_key(
     return train, test
 
 
-def split_random(df: DataFrame, weights=(0.7, 0.3), seed: int = 42) -> list[DataFrame]:
-    """Seeded ``randomSplit`` (M2a). Reproducible for a fixed input
-    partitioning; use ``split_by_key`` when that cannot be guaranteed."""
-    return df.randomSplit(list(weights), seed=seed)
+def split_random(df: DataFrame, train_fraction: float = 0.7, seed: int = 42, out: str = "is_train") -> DataFrame:
+    """Add a seeded random train/test flag (M2a), in one scan.
+
+    The flag follows a row's place in its partition, so it is reproducible for
+    a fixed input partitioning; use ``split_by_key`` when that cannot be
+    guaranteed."""
+    return df.withColumn(out, F.rand(seed) < F.lit(train_fraction))

@@ -9,9 +9,9 @@ joins. The aggregate is algebraic, so Spark runs a partial (map-side)
 aggregate before the shuffle: a subject with a third of all events still
 sends one row per map task, never its raw events, through the exchange.
 
-Means are accumulated in exact integer micro-units (see
-``functions.expressions.MICRO_DIGITS``), so results do not depend on
-partitioning, task retries or summation order.
+Means are Spark's ``avg``; a component that declares a ``scale`` is summed
+exactly as DECIMAL instead, so its mean does not depend on partitioning, task
+retries or summation order (see ``functions.expressions.mean``).
 """
 
 from __future__ import annotations
@@ -22,21 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from cohort_features.functions.catalog import Component, Measure, MeasureCatalogue
+from cohort_features.functions.catalog import CODE_COUNT_COLUMNS, Component, Measure, MeasureCatalogue
 from cohort_features.functions.expressions import (
+    code_group,
     fahrenheit_to_celsius,
-    mean_from_micros,
+    mean,
     merge_truthy,
-    micro_sum_parts,
-    micro_total,
     round_half_up,
-    rounded_mean_from_micros,
     safe_numeric,
     safe_ratio,
-    to_micros,
 )
 
-COUNT_SUFFIX = "__n"
+
+N_CODES = "n_codes"
 
 
 def _value(df: DataFrame, comp: Component) -> Column:
@@ -57,7 +55,7 @@ def _value(df: DataFrame, comp: Component) -> Column:
 def _value_columns(
     df: DataFrame, components, item_col: str
 ) -> tuple[list[Column], dict[Component, str]]:
-    """One projected micro-unit column per distinct (value column, transform).
+    """One projected value column per distinct (value column, transform).
 
     Each value is converted once per row, however many families read it, and
     only on rows whose item some family actually reads that way: a text
@@ -71,25 +69,19 @@ def _value_columns(
     by_comp: dict[Component, str] = {}
     for n, comps in enumerate(groups.values()):
         name = f"_m{n}"
-        micros = to_micros(_value(df, comps[0]))
+        value = _value(df, comps[0])
         items = {i for c in comps for i in c.items}
         if items != all_items:
-            micros = F.when(F.col(item_col).isin(sorted(items, key=str)), micros)
-        cols.append(micros.alias(name))
+            value = F.when(F.col(item_col).isin(sorted(items, key=str)), value)
+        cols.append(value.alias(name))
         for c in comps:
             by_comp[c] = name
     return cols, by_comp
 
 
-def _sum_count(comp: Component, micros: Column, item_col: str) -> list[Column]:
-    """The two partial-aggregatable columns (micro-unit sum, count) of one family."""
-    v = F.when(F.col(item_col).isin(list(comp.items)), micros)
-    return micro_sum_parts(v, comp.name) + [F.count(v).alias(comp.name + COUNT_SUFFIX)]
-
-
-def component_aggregates(df: DataFrame, comp: Component, item_col: str) -> list[Column]:
-    """``_sum_count`` of one family straight from the raw value column."""
-    return _sum_count(comp, to_micros(_value(df, comp)), item_col)
+def component_mean(comp: Component, value: Column, item_col: str) -> Column:
+    """The conditional mean of one family, named after it."""
+    return mean(F.when(F.col(item_col).isin(list(comp.items)), value), comp.scale).alias(comp.name)
 
 
 def source_aggregate(
@@ -97,26 +89,34 @@ def source_aggregate(
     components: tuple[Component, ...] | list[Component],
     subject_col: str = "subject_id",
     item_col: str = "itemid",
+    code_col: str | None = None,
 ) -> DataFrame:
     """One scan + one grouped aggregate for all families of one event table.
 
     The coarse ``isin`` over the union of item ids is pushed into the Parquet
     scan (row-group skipping on min/max and dictionary filters). Values are
-    converted to micro-units once per row in a projection; each family then
-    adds a conditional sum and count to the same partial aggregate.
+    converted once per row in a projection; each family then adds a
+    conditional mean to the same partial aggregate.
+
+    ``code_col``: the rows also carry diagnosis codes; the same aggregate then
+    holds the 20 chapter counts and ``n_codes``, the number of non-NULL codes.
     """
     items = sorted({i for c in components for i in c.items}, key=str)
     value_cols, by_comp = _value_columns(df, components, item_col)
-    rows = df.filter(F.col(item_col).isin(items)).select(subject_col, item_col, *value_cols)
-    aggs = [a for c in components for a in _sum_count(c, F.col(by_comp[c]), item_col)]
+    wanted = F.col(item_col).isin(items)
+    aggs = [component_mean(c, F.col(by_comp[c]), item_col) for c in components]
+    extra = []
+    if code_col is not None:
+        wanted = wanted | F.col(code_col).isNotNull()
+        extra = [code_group(F.col(code_col)).alias("_group"), F.col(code_col).isNotNull().alias("_coded")]
+        aggs += [*chapter_counts("_group"), F.count_if("_coded").alias(N_CODES)]
+    rows = df.filter(wanted).select(subject_col, item_col, *value_cols, *extra)
     return rows.groupBy(subject_col).agg(*aggs)
 
 
-def _component_mean(name: str, digits: int | None) -> Column:
-    total, n = micro_total(name), F.col(name + COUNT_SUFFIX)
-    if digits is None:
-        return mean_from_micros(total, n)
-    return rounded_mean_from_micros(total, n, digits)
+def chapter_counts(group_col: str) -> list[Column]:
+    """The 20 chapter counts as one aggregate column each."""
+    return [F.count_if(F.col(group_col) == F.lit(i)).alias(c) for i, c in enumerate(CODE_COUNT_COLUMNS, 1)]
 
 
 def _measure_expr(m: Measure, resolved: dict[str, Column], components: set[str]) -> Column:
@@ -124,13 +124,11 @@ def _measure_expr(m: Measure, resolved: dict[str, Column], components: set[str])
         if name in resolved:
             return resolved[name]
         if name in components:
-            return _component_mean(name, None)
+            return F.col(name)
         raise KeyError(f"measure {m.name!r} depends on unknown {name!r}")
 
     if m.kind == "mean":
         (src,) = m.inputs
-        if src in components and m.digits is not None:
-            return _component_mean(src, m.digits)
         out = arg(src)
     elif m.kind == "merge":
         out = merge_truthy(arg(m.inputs[0]), arg(m.inputs[1]))
@@ -142,15 +140,15 @@ def _measure_expr(m: Measure, resolved: dict[str, Column], components: set[str])
 
 
 def derive_measures(
-    aggregated: DataFrame, catalogue: MeasureCatalogue, subject_col: str = "subject_id"
+    aggregated: DataFrame, catalogue: MeasureCatalogue, subject_col: str = "subject_id", keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Turn per-component (sum, count) columns into the catalogue's measures."""
+    """Turn per-component means into the catalogue's measures."""
     components = {c.name for c in catalogue.components}
     resolved: dict[str, Column] = {}
     for m in catalogue.measures:
         resolved[m.name] = _measure_expr(m, resolved, components)
     return aggregated.select(
-        subject_col, *[resolved[m.name].alias(m.name) for m in catalogue.visible()]
+        subject_col, *[resolved[m.name].alias(m.name) for m in catalogue.visible()], *keep
     )
 
 
@@ -170,6 +168,8 @@ def subject_measures(
     subject_col: str = "subject_id",
     item_col: str = "itemid",
     complete: bool = False,
+    code_source: str | None = None,
+    code_col: str = "icd9_code",
 ) -> DataFrame:
     """All measures of ``catalogue``, one row per subject (A5 + J4 + J5 + J6).
 
@@ -182,35 +182,46 @@ def subject_measures(
     Each per-source aggregate is unique per subject and already hash
     partitioned on it, so the joins between them are skew-free and reuse that
     partitioning.
+
+    ``code_source`` names a source whose rows also carry diagnosis codes in
+    ``code_col``: the subjects' 20 chapter counts then come from the same scan
+    and aggregate, and only subjects with a code are kept.
     """
     parts = []
     for source in catalogue.sources():
         comps = catalogue.components_of(source)
-        parts.append((source, source_aggregate(sources[source], comps, subject_col, item_col)))
+        codes = code_col if source == code_source else None
+        agg = source_aggregate(sources[source], comps, subject_col, item_col, codes)
+        if codes:
+            agg = agg.filter(F.col(N_CODES) > 0)
+        parts.append((source, agg))
+
+    def inner(name: str) -> bool:
+        return name == code_source or (complete and _inner_safe(catalogue, name))
 
     def join(left, right):
         name, df = right
-        how = "inner" if complete and _inner_safe(catalogue, name) else "full"
-        return left.join(df, on=subject_col, how=how)
+        return left.join(df, on=subject_col, how="inner" if inner(name) else "full")
 
     # inner joins first so the outer ones see the smallest inputs
-    parts.sort(key=lambda p: 0 if complete and _inner_safe(catalogue, p[0]) else 1)
+    parts.sort(key=lambda p: not inner(p[0]))
     merged = reduce(join, parts[1:], parts[0][1])
-    out = derive_measures(merged, catalogue, subject_col)
+    if code_source and not complete:
+        merged = merged.filter(F.col(N_CODES) > 0)  # a full outer join may bring others back
+    out = derive_measures(merged, catalogue, subject_col, CODE_COUNT_COLUMNS if code_source else ())
     if complete:
         out = out.dropna(subset=list(catalogue.required()))
     return out
 
 
 def group_mean(
-    df: DataFrame, key: str, value: str, out: str, digits: int | None = None
+    df: DataFrame, key: str, value: str, out: str, digits: int | None = None, scale: int | None = None
 ) -> DataFrame:
-    """Grouped mean of one column (A1, or A2 with ``digits``), exact fixed point."""
+    """Grouped mean of one column (A1, or A2 with ``digits``); ``scale`` as in
+    ``expressions.mean``."""
     v = safe_numeric(value) if isinstance(df.schema[value].dataType, StringType) else F.col(value)
-    agg = df.groupBy(key).agg(*micro_sum_parts(to_micros(v), "_s"), F.count(v).alias("_n"))
-    total = micro_total("_s")
-    mean = mean_from_micros(total, "_n") if digits is None else rounded_mean_from_micros(total, "_n", digits)
-    return agg.select(key, mean.alias(out))
+    agg = df.groupBy(key).agg(mean(v, scale).alias(out))
+    return agg if digits is None else agg.select(key, round_half_up(out, digits).alias(out))
 
 
 def merge_sources(
@@ -251,7 +262,7 @@ def per_family_chain(
         src = sources[comp.source]
         family[name] = src.filter(F.col(item_col).isin(list(comp.items))).groupBy(
             subject_col
-        ).agg(*component_aggregates(src, comp, item_col))
+        ).agg(component_mean(comp, _value(src, comp), item_col))
 
     frames: dict[str, DataFrame] = {}
     for m in catalogue.measures:

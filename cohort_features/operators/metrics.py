@@ -67,14 +67,21 @@ def precision_recall_f1(
 def regression_metrics(
     pred: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """rmse, mse, mae, r2 and n in one aggregate (R2 = 1 - SSres / SStot)."""
-    err = F.col(prediction).cast("double") - F.col(label).cast("double")
+    """rmse, mse, mae, r2 (1 - SSres / SStot), n and n_skipped in one aggregate.
+
+    All five metrics are over the rows that have both values; ``n_skipped``
+    says how many had not.
+    """
+    y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
+    both = y.isNotNull() & p.isNotNull()
+    y, err = F.when(both, y), F.when(both, p - y)
     agg = pred.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(y).alias("n"),
+        F.count_if(~both).alias("n_skipped"),
         F.avg(err * err).alias("mse"),
         F.avg(F.abs(err)).alias("mae"),
         F.sum(err * err).alias("_ss_res"),
-        (F.var_pop(F.col(label).cast("double")) * F.count(F.lit(1))).alias("_ss_tot"),
+        (F.var_pop(y) * F.count(y)).alias("_ss_tot"),
     )
     return agg.select(
         F.sqrt("mse").alias("rmse"),
@@ -82,4 +89,5 @@ def regression_metrics(
         "mae",
         (F.lit(1.0) - F.try_divide(F.col("_ss_res"), F.col("_ss_tot"))).alias("r2"),
         "n",
+        "n_skipped",
     )

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from cohort_features.session import remove
 
 
 def fit_pipeline(train: DataFrame, feature_cols: list[str], estimator: Estimator) -> PipelineModel:
@@ -29,3 +31,12 @@ def score_batch(model: PipelineModel, df: DataFrame, keep: list[str] | None = No
     """``prediction`` for every row of ``df`` (rows with a NULL input raise)."""
     out = model.transform(df)
     return out.select(*(keep or []), "prediction")
+
+
+def reloaded(model: PipelineModel, path: str) -> PipelineModel:
+    """The model saved to ``path`` and loaded again; the files are removed, as
+    a loaded model is in memory."""
+    save_pipeline(model, path)
+    out = load_pipeline(path)
+    remove(SparkSession.getActiveSession(), path)
+    return out

@@ -30,25 +30,9 @@ TABLES = (
 ).split()
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The Parquet table as a lazy relation, created once per application.
-
-    Creating a relation lists the files and reads the footer for the schema on
-    the driver; the roles below read the same few tables many times, so they
-    share one relation (plans still prune columns per use).
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # sessions without a local SparkContext
-        app = str(id(spark))
-    key = (app, path)
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+    """The Parquet table as a lazy relation."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,12 +101,17 @@ def charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = lines_by_subject(spark, sf_dir, ["l_returnflag", "l_linestatus", "l_quantity"])
+def labs(spark: SparkSession, sf_dir: str, codes: bool = False) -> DataFrame:
+    """``codes``: each lab row also carries its line's diagnosis code, so that
+    one line x order join serves both roles."""
+    cols = ["l_returnflag", "l_linestatus", "l_quantity"]
+    lines = lines_by_subject(spark, sf_dir, cols + (["l_partkey", "l_linenumber"] if codes else []))
+    code = [diagnosis_code(F.col("l_partkey"), F.col("l_linenumber")).alias("icd9_code")] if codes else []
     return lines.select(
         "subject_id",
         F.concat("l_returnflag", "l_linestatus").alias("itemid"),
         F.col("l_quantity").cast("string").alias("value"),
+        *code,
     )
 
 
@@ -142,30 +131,31 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "patients": patients(spark, sf_dir),
         "diagnoses": diagnoses(spark, sf_dir),
         "charts": charts(spark, sf_dir),
-        "labs": labs(spark, sf_dir),
+        "labs": labs(spark, sf_dir, codes=True),
         "outputs": outputs(spark, sf_dir),
     }
 
 
 # The clinical catalogue's shape (same families, kinds and flags) with item
-# ids taken from the driver tables' vocabularies.
+# ids taken from the driver tables' vocabularies. The tables' amounts have two
+# decimals (percentages of them four), which ``scale`` declares.
 DRIVER_CATALOGUE = MeasureCatalogue(
     components=(
         Component("temp_f", "charts", ("click",), "valuenum", "f_to_c"),
-        Component("temp_c", "charts", ("view",), "valuenum"),
-        Component("heart_rate", "charts", ("purchase",), "valuenum"),
-        Component("bp", "charts", ("signup", "purchase"), "valuenum"),
-        Component("coma_scale", "charts", ("error",), "valuenum"),
-        Component("fio2_fraction", "charts", ("signup",), "value"),
-        Component("fio2_percent", "charts", ("click", "error"), "value", "percent"),
-        Component("urine_output", "outputs", ("1-URGENT", "2-HIGH"), "value"),
-        Component("nitrogen", "labs", ("AF",), "value"),
-        Component("wbc", "labs", ("NO", "NF"), "value"),
-        Component("bico", "labs", ("RF",), "value"),
-        Component("sodium", "labs", ("RO", "AO"), "value"),
-        Component("potassium", "labs", ("NF",), "value"),
-        Component("bilirubin", "labs", ("AO",), "value"),
-        Component("po2", "labs", ("RF", "RO"), "value"),
+        Component("temp_c", "charts", ("view",), "valuenum", scale=2),
+        Component("heart_rate", "charts", ("purchase",), "valuenum", scale=2),
+        Component("bp", "charts", ("signup", "purchase"), "valuenum", scale=2),
+        Component("coma_scale", "charts", ("error",), "valuenum", scale=2),
+        Component("fio2_fraction", "charts", ("signup",), "value", scale=2),
+        Component("fio2_percent", "charts", ("click", "error"), "value", "percent", scale=4),
+        Component("urine_output", "outputs", ("1-URGENT", "2-HIGH"), "value", scale=2),
+        Component("nitrogen", "labs", ("AF",), "value", scale=2),
+        Component("wbc", "labs", ("NO", "NF"), "value", scale=2),
+        Component("bico", "labs", ("RF",), "value", scale=2),
+        Component("sodium", "labs", ("RO", "AO"), "value", scale=2),
+        Component("potassium", "labs", ("NF",), "value", scale=2),
+        Component("bilirubin", "labs", ("AO",), "value", scale=2),
+        Component("po2", "labs", ("RF", "RO"), "value", scale=2),
     ),
     measures=(
         Measure("avg_temp", "merge", ("temp_f", "temp_c")),

@@ -1,42 +1,30 @@
-"""DuckDB SQL for every registered query (the correctness oracle).
+"""DuckDB SQL for the registered queries (the correctness oracle).
 
-Written independently of the Spark code paths: each query is plain SQL over
-the driver's tables (registered as views). Small helpers below only splice
-repeated SQL fragments (the fixed-point mean, the truthiness merge).
+Plain SQL over the driver's tables (registered as views), written apart from
+the engine: nothing is imported from it, and chapter ranges and descriptions
+are SQL literals. Small helpers below only splice repeated SQL fragments.
 
-Numeric conventions shared with the Spark side (see
-``functions.expressions``): means accumulate ``round(v * 1e6)`` as BIGINT,
-and every rounding is done at precision 0 (``round(x * 100) / 100``), where
-both engines round the exact double value half away from zero.
+Means of columns with declared decimals are DECIMAL sums over counts, other
+means are plain ``avg``. Rounding is that of a double's shortest decimal text,
+half away from zero, as Spark's ``round`` does it.
 """
 
 from __future__ import annotations
 
-from cohort_features.functions.catalog import CODE_GROUP_LETTERS, CODE_GROUP_RANGES, N_CODE_GROUPS
-
 
 def _in(items) -> str:
     return ", ".join(f"'{i}'" if isinstance(i, str) else str(i) for i in items)
 
 
-def micro_sum(cond: str, value: str) -> str:
-    return f"sum(TRY_CAST(round((CASE WHEN {cond} THEN {value} END) * 1000000) AS BIGINT))"
-
-
-def cond_count(cond: str, value: str) -> str:
-    return f"count(CASE WHEN {cond} THEN {value} END)"
+def mean_sql(value: str, cond: str = "TRUE", scale: int | None = 2) -> str:
+    v = value if cond == "TRUE" else f"CASE WHEN {cond} THEN {value} END"
+    if scale is None:
+        return f"avg({v})"
+    return f"(CAST(sum(CAST({v} AS DECIMAL(28,{scale}))) AS DOUBLE) / NULLIF(count({v}), 0))"
 
 
-def mean_sql(s: str, n: str) -> str:
-    return f"(CASE WHEN {n} > 0 THEN {s} / (CAST({n} AS DOUBLE) * CAST(1000000 AS DOUBLE)) END)"
-
-
-def rounded_mean_sql(s: str, n: str, digits: int = 2) -> str:
-    unit = 10 ** (6 - digits)
-    return (
-        f"(CASE WHEN {n} > 0 THEN round({s} / (CAST({n} AS DOUBLE) * CAST({unit} AS DOUBLE)))"
-        f" / CAST({10 ** digits} AS DOUBLE) END)"
-    )
+def rounded(x: str, digits: int = 2) -> str:
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,18)), {digits}) AS DOUBLE)"
 
 
 def truthy_sql(x: str) -> str:
@@ -50,19 +38,20 @@ def merge_sql(a: str, b: str) -> str:
     )
 
 
-def round2(x: str, digits: int = 2) -> str:
-    return f"(round(({x}) * {10 ** digits}) / {10 ** digits})"
-
-
 def f_to_c_sql(v: str) -> str:
     return f"(CASE WHEN {truthy_sql(v)} THEN ({v} - 32) * 5 / 9 END)"
 
 
 def code_group_sql(code: str) -> str:
-    num = f"TRY_CAST(substring({code}, 1, 3) AS INTEGER)"
-    parts = [f"WHEN substring({code}, 1, 1) = '{letter}' THEN {g}" for letter, g in CODE_GROUP_LETTERS]
-    parts += [f"WHEN {num} BETWEEN {lo} AND {hi} THEN {g}" for lo, hi, g in CODE_GROUP_RANGES]
-    return "(CASE " + " ".join(parts) + " END)"
+    return f"""(CASE
+      WHEN starts_with({code}, 'E') THEN 20
+      WHEN starts_with({code}, 'V') THEN 19
+      ELSE (SELECT any_value(chapter) FROM (VALUES
+        (1, 139, 1), (140, 239, 2), (240, 279, 3), (280, 289, 4), (290, 319, 5), (320, 389, 6),
+        (390, 459, 7), (460, 519, 8), (520, 579, 9), (580, 629, 10), (630, 679, 11), (680, 709, 12),
+        (710, 739, 13), (740, 759, 14), (780, 789, 15), (790, 796, 16), (797, 799, 17), (800, 999, 18)
+      ) AS chapters(first, last, chapter)
+      WHERE TRY_CAST(substring({code}, 1, 3) AS INTEGER) BETWEEN first AND last) END)"""
 
 
 def code_sql(partkey: str, linenumber: str) -> str:
@@ -73,8 +62,8 @@ def code_sql(partkey: str, linenumber: str) -> str:
     )
 
 
-COUNT_COLS = ", ".join(f"CAST(count_if(g = {i}) AS BIGINT) AS icd9_g{i}" for i in range(1, N_CODE_GROUPS + 1))
-COUNT_NAMES = ", ".join(f"icd9_g{i}" for i in range(1, N_CODE_GROUPS + 1))
+COUNT_COLS = ", ".join(f"CAST(count_if(g = {i}) AS BIGINT) AS icd9_g{i}" for i in range(1, 21))
+COUNT_NAMES = ", ".join(f"icd9_g{i}" for i in range(1, 21))
 
 # Clinical roles over the driver tables (mirror of plans.driver).
 ROLE_CTES = f"""
@@ -110,9 +99,8 @@ outp AS (
 """
 
 
-def _component(name: str, items, value: str) -> str:
-    cond = f"itemid IN ({_in(items)})"
-    return f"{micro_sum(cond, value)} AS {name}_s, {cond_count(cond, value)} AS {name}_n"
+def _component(name: str, items, value: str, scale: int | None = 2) -> str:
+    return f"{mean_sql(value, f'itemid IN ({_in(items)})', scale)} AS {name}"
 
 
 NUM = "TRY_CAST(value AS DOUBLE)"
@@ -120,13 +108,13 @@ NUM = "TRY_CAST(value AS DOUBLE)"
 MEASURE_CTES = f"""
 ch AS (
   SELECT subject_id,
-    {_component('temp_f', ['click'], f_to_c_sql('valuenum'))},
+    {_component('temp_f', ['click'], f_to_c_sql('valuenum'), None)},
     {_component('temp_c', ['view'], 'valuenum')},
     {_component('hr', ['purchase'], 'valuenum')},
     {_component('bp', ['signup', 'purchase'], 'valuenum')},
     {_component('coma', ['error'], 'valuenum')},
     {_component('fio0', ['signup'], NUM)},
-    {_component('fio1', ['click', 'error'], NUM + ' / 100')}
+    {_component('fio1', ['click', 'error'], NUM + ' / 100', 4)}
   FROM ev WHERE itemid IN ('click', 'view', 'purchase', 'signup', 'error')
   GROUP BY subject_id),
 lb AS (
@@ -144,24 +132,24 @@ op AS (
   FROM outp WHERE itemid IN ('1-URGENT', '2-HIGH') GROUP BY subject_id),
 m0 AS (
   SELECT ch.subject_id,
-    {merge_sql(mean_sql('temp_f_s', 'temp_f_n'), mean_sql('temp_c_s', 'temp_c_n'))} AS temp_raw,
-    {rounded_mean_sql('hr_s', 'hr_n')} AS avg_heart_rate,
-    {rounded_mean_sql('bp_s', 'bp_n')} AS avg_bp,
-    {rounded_mean_sql('coma_s', 'coma_n')} AS avg_coma_scale,
-    {rounded_mean_sql('urine_s', 'urine_n')} AS avg_urine_output,
-    {rounded_mean_sql('nitrogen_s', 'nitrogen_n')} AS avg_nitrogen,
-    {rounded_mean_sql('wbc_s', 'wbc_n')} AS avg_wbc,
-    {rounded_mean_sql('bico_s', 'bico_n')} AS avg_bico,
-    {rounded_mean_sql('sodium_s', 'sodium_n')} AS avg_sodium,
-    {rounded_mean_sql('potassium_s', 'potassium_n')} AS avg_potassium,
-    {rounded_mean_sql('bilirubin_s', 'bilirubin_n')} AS avg_bilirubin,
-    {mean_sql('po2_s', 'po2_n')} AS po2,
-    {round2(merge_sql(mean_sql('fio0_s', 'fio0_n'), mean_sql('fio1_s', 'fio1_n')))} AS fio2
+    {merge_sql('temp_f', 'temp_c')} AS temp_raw,
+    {rounded('hr')} AS avg_heart_rate,
+    {rounded('bp')} AS avg_bp,
+    {rounded('coma')} AS avg_coma_scale,
+    {rounded('urine')} AS avg_urine_output,
+    {rounded('nitrogen')} AS avg_nitrogen,
+    {rounded('wbc')} AS avg_wbc,
+    {rounded('bico')} AS avg_bico,
+    {rounded('sodium')} AS avg_sodium,
+    {rounded('potassium')} AS avg_potassium,
+    {rounded('bilirubin')} AS avg_bilirubin,
+    po2,
+    {rounded(merge_sql('fio0', 'fio1'))} AS fio2
   FROM ch JOIN lb ON ch.subject_id = lb.subject_id JOIN op ON ch.subject_id = op.subject_id),
 m AS (
-  SELECT subject_id, {round2('temp_raw')} AS avg_temp, avg_heart_rate, avg_bp, avg_coma_scale,
+  SELECT subject_id, {rounded('temp_raw')} AS avg_temp, avg_heart_rate, avg_bp, avg_coma_scale,
     avg_urine_output, avg_nitrogen, avg_wbc, avg_bico, avg_sodium, avg_potassium, avg_bilirubin,
-    {round2('po2 / NULLIF(fio2, 0)')} AS pf_ratio
+    {rounded('po2 / NULLIF(fio2, 0)')} AS pf_ratio
   FROM m0),
 mc AS (
   SELECT * FROM m
@@ -196,23 +184,23 @@ SUBJECT_FEATURES = f"WITH {ROLE_CTES}, {MEASURE_CTES} SELECT * FROM mc"
 MULTI_MEASURE_SELECT = f"""
 ch AS (
   SELECT subject_id,
-    {_component('temp_f', ['click'], f_to_c_sql('valuenum'))},
+    {_component('temp_f', ['click'], f_to_c_sql('valuenum'), None)},
     {_component('temp_c', ['view'], 'valuenum')},
     {_component('hr', ['purchase'], 'valuenum')},
     {_component('bp', ['signup'], 'valuenum')},
     {_component('coma', ['error'], 'valuenum')},
     {_component('fio0', ['signup'], NUM)},
-    {_component('fio1', ['click', 'error'], NUM + ' / 100')},
+    {_component('fio1', ['click', 'error'], NUM + ' / 100', 4)},
     {_component('po2', ['purchase', 'view'], 'valuenum')}
   FROM ev WHERE itemid IN ('click', 'view', 'purchase', 'signup', 'error')
   GROUP BY subject_id),
 mm AS (
   SELECT subject_id,
-    {round2(merge_sql(mean_sql('temp_f_s', 'temp_f_n'), mean_sql('temp_c_s', 'temp_c_n')))} AS avg_temp,
-    {rounded_mean_sql('hr_s', 'hr_n')} AS avg_heart_rate,
-    {rounded_mean_sql('bp_s', 'bp_n')} AS avg_bp,
-    {rounded_mean_sql('coma_s', 'coma_n')} AS avg_coma_scale,
-    {round2(mean_sql('po2_s', 'po2_n') + ' / NULLIF(' + round2(merge_sql(mean_sql('fio0_s', 'fio0_n'), mean_sql('fio1_s', 'fio1_n'))) + ', 0)')} AS pf_ratio
+    {rounded(merge_sql('temp_f', 'temp_c'))} AS avg_temp,
+    {rounded('hr')} AS avg_heart_rate,
+    {rounded('bp')} AS avg_bp,
+    {rounded('coma')} AS avg_coma_scale,
+    {rounded('po2' + ' / NULLIF(' + rounded(merge_sql('fio0', 'fio1')) + ', 0)')} AS pf_ratio
   FROM ch)
 """
 
@@ -230,61 +218,49 @@ op AS (
   FROM outp WHERE itemid IN ('1-URGENT', '2-HIGH', '3-MEDIUM') GROUP BY subject_id),
 j AS (
   SELECT ch.subject_id,
-    {rounded_mean_sql('hr_s', 'hr_n')} AS avg_heart_rate,
-    {rounded_mean_sql('bp_s', 'bp_n')} AS avg_bp,
-    {rounded_mean_sql('urine_s', 'urine_n')} AS avg_urine_output,
-    {rounded_mean_sql('sodium_s', 'sodium_n')} AS avg_sodium
+    {rounded('hr')} AS avg_heart_rate,
+    {rounded('bp')} AS avg_bp,
+    {rounded('urine')} AS avg_urine_output,
+    {rounded('sodium')} AS avg_sodium
   FROM ch JOIN op ON ch.subject_id = op.subject_id)
 SELECT * FROM j
 WHERE avg_heart_rate IS NOT NULL AND avg_bp IS NOT NULL AND avg_urine_output IS NOT NULL
   AND avg_sodium IS NOT NULL
 """
 
-GROUP_MEAN = f"""
-SELECT user_id, {mean_sql(micro_sum('TRUE', 'value'), cond_count('TRUE', 'value'))} AS avg_value
-FROM events GROUP BY user_id
-"""
+GROUP_MEAN = f"SELECT user_id, {mean_sql('value')} AS avg_value FROM events GROUP BY user_id"
 
 GROUP_MEAN_ROUNDED = f"""
-SELECT o_custkey, {rounded_mean_sql(micro_sum('TRUE', 'o_totalprice'), cond_count('TRUE', 'o_totalprice'))} AS avg_totalprice
-FROM orders GROUP BY o_custkey
+SELECT o_custkey, {rounded(mean_sql('o_totalprice'))} AS avg_totalprice FROM orders GROUP BY o_custkey
 """
 
 OUTER_MERGE = f"""
 WITH l AS (
-  SELECT user_id AS subject_id, {micro_sum('TRUE', f_to_c_sql('value'))} AS s, {cond_count('TRUE', f_to_c_sql('value'))} AS n
+  SELECT user_id AS subject_id, avg({f_to_c_sql('value')}) AS a
   FROM events WHERE event_type = 'click' GROUP BY user_id),
-r AS (
-  SELECT o_custkey AS subject_id, {micro_sum('TRUE', 'o_totalprice / 10000')} AS s, {cond_count('TRUE', 'o_totalprice / 10000')} AS n
-  FROM orders GROUP BY o_custkey)
-SELECT coalesce(l.subject_id, r.subject_id) AS subject_id,
-  {round2(merge_sql(mean_sql('l.s', 'l.n'), mean_sql('r.s', 'r.n')))} AS avg_temp
+r AS (SELECT o_custkey AS subject_id, avg(o_totalprice / 10000) AS b FROM orders GROUP BY o_custkey)
+SELECT coalesce(l.subject_id, r.subject_id) AS subject_id, {rounded(merge_sql('a', 'b'))} AS avg_temp
 FROM l FULL OUTER JOIN r ON l.subject_id = r.subject_id
 """
 
 RATIO_JOIN = f"""
-WITH lines AS (
-  SELECT o.o_custkey AS subject_id, l.l_returnflag, l.l_linestatus, l.l_quantity, l.l_discount
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-num AS (
-  SELECT subject_id, {micro_sum('TRUE', 'l_quantity')} AS s, {cond_count('TRUE', 'l_quantity')} AS n
-  FROM lines WHERE l_returnflag = 'A' GROUP BY subject_id),
+WITH num AS (
+  SELECT user_id AS subject_id, {mean_sql('value')} AS a
+  FROM events WHERE event_type = 'purchase' GROUP BY user_id),
 den AS (
-  SELECT subject_id,
-    {micro_sum('TRUE', "CASE WHEN l_linestatus = 'F' THEN l_discount ELSE 0.0 END")} AS s,
-    {cond_count('TRUE', "CASE WHEN l_linestatus = 'F' THEN l_discount ELSE 0.0 END")} AS n
-  FROM lines WHERE l_returnflag = 'R' GROUP BY subject_id)
-SELECT num.subject_id,
-  {round2(mean_sql('num.s', 'num.n') + ' / NULLIF(' + rounded_mean_sql('den.s', 'den.n') + ', 0)')} AS qty_per_disc
+  SELECT o.o_custkey AS subject_id,
+    {rounded(mean_sql("(CASE WHEN l.l_linestatus = 'F' THEN l.l_discount ELSE 0.0 END)"))} AS b
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_returnflag = 'R' GROUP BY o.o_custkey)
+SELECT num.subject_id, {rounded('a / NULLIF(b, 0)')} AS value_per_disc
 FROM num JOIN den ON num.subject_id = den.subject_id
 """
 
 COMPLETE_CASES = f"""
 WITH ev AS (
-  SELECT user_id AS subject_id, {rounded_mean_sql(micro_sum('TRUE', 'value'), cond_count('TRUE', 'value'))} AS avg_event_value
-  FROM events GROUP BY user_id),
+  SELECT user_id AS subject_id, {rounded(mean_sql('value'))} AS avg_event_value FROM events GROUP BY user_id),
 od AS (
-  SELECT o_custkey AS subject_id, {rounded_mean_sql(micro_sum('TRUE', 'o_totalprice'), cond_count('TRUE', 'o_totalprice'))} AS avg_order_value
+  SELECT o_custkey AS subject_id, {rounded(mean_sql('o_totalprice'))} AS avg_order_value
   FROM orders GROUP BY o_custkey)
 SELECT c.c_custkey AS subject_id, c.c_acctbal, ev.avg_event_value, od.avg_order_value
 FROM customer c LEFT JOIN ev ON c.c_custkey = ev.subject_id LEFT JOIN od ON c.c_custkey = od.subject_id
@@ -342,46 +318,35 @@ FROM customer
 """
 
 SAFE_NUMERIC = """
-SELECT p_partkey, TRY_CAST(substring(p_brand, 7, 10) AS DOUBLE) AS brand_number,
+SELECT p_partkey, TRY_CAST(substring(p_brand, 7) AS DOUBLE) AS brand_number,
   TRY_CAST(p_name AS DOUBLE) AS name_number, TRY_CAST(p_brand AS DOUBLE) AS brand_whole
 FROM part
 """
 
-P_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-ONE_HOT = (
-    "SELECT p_partkey, p_type, "
-    + ", ".join(f"CAST(CASE WHEN p_type = '{t}' THEN 1 ELSE 0 END AS INTEGER) AS p_type_{t}" for t in P_TYPES)
-    + " FROM part"
-)
-
+ONE_HOT = """
+SELECT p_partkey, p_type AS category, CAST(1 AS INTEGER) AS value FROM part WHERE p_type IS NOT NULL
+"""
 
-def _describe_sql() -> str:
-    from cohort_features.functions.catalog import feature_descriptions
 
-    feats = ["avg_temp", "avg_heart_rate", "avg_bp", "avg_coma_scale", "pf_ratio"]
-    long_rows = " UNION ALL ".join(
-        f"SELECT subject_id, '{f}' AS feature, {f} AS value FROM mm" for f in feats
-    )
-    values = ", ".join(
-        "('{}', '{}')".format(f, d.replace("'", "''")) for f, d in feature_descriptions()
-    )
-    return f"""
-WITH {ROLE_CTES}, {MULTI_MEASURE_SELECT},
-lf AS ({long_rows}),
-d AS (SELECT * FROM (VALUES {values}) t(feature, description))
+DESCRIBE_FEATURES = f"""
+WITH {ROLE_CTES}, {MULTI_MEASURE_SELECT}
 SELECT lf.feature, lf.subject_id, lf.value, d.description
-FROM lf JOIN d ON lf.feature = d.feature
+FROM (UNPIVOT mm ON avg_temp, avg_heart_rate, avg_bp, avg_coma_scale, pf_ratio INTO NAME feature VALUE value) lf
+JOIN (VALUES
+  ('avg_temp', 'Body Temperature'),
+  ('avg_heart_rate', 'Heart Rate'),
+  ('avg_bp', 'Blood Pressure'),
+  ('avg_coma_scale', 'Glasgow Coma Scale'),
+  ('pf_ratio', 'PaO2 / FiO2 ratio')
+) AS d(feature, description) ON lf.feature = d.feature
 WHERE lf.value IS NOT NULL
 """
 
-
-DESCRIBE_FEATURES = _describe_sql()
-
 PROJECT_COLUMNS = "SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM orders"
 DERIVED_COLUMN = "SELECT l_orderkey, l_linenumber, l_discount, l_discount / 100 AS discount_fraction FROM lineitem"
 ARRAY_TO_COLUMNS = (
     "SELECT vec_id, label, "
-    + ", ".join(f"embedding[{i + 1}] AS e{i}" for i in range(20))
+    + ", ".join(f"embedding[{i + 1}] AS e{i}" for i in range(64))
     + " FROM embeddings"
 )
 DROPNA_SUBSET = """
@@ -396,6 +361,18 @@ FILTER_OR = (
     "WHERE event_type = 'click' OR event_type = 'signup'"
 )
 CSV_SCAN = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders"
+CSV_INGEST = """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderpriority = '1-URGENT'
+"""
+SPLIT_RANDOM = "SELECT event_id, user_id, count(*) AS n_sides FROM events GROUP BY event_id, user_id"
+LEAF_MEANS = f"""
+SELECT CAST(l_linenumber AS INTEGER) AS l_linenumber, {rounded('avg(l_quantity)', 6)} AS prediction, count(*) AS n
+FROM lineitem GROUP BY l_linenumber
+"""
+LOGISTIC_MEAN = f"""
+SELECT {rounded("avg(CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0 END)", 4)} AS mean_probability, count(*) AS n
+FROM lineitem
+"""
 FEATURES_ROUNDTRIP = (
     "SELECT l_orderkey, l_linenumber, l_quantity AS f0, l_extendedprice AS f1, "
     "l_discount AS f2, l_tax AS f3 FROM lineitem"
@@ -491,6 +468,12 @@ ORACLE: dict[str, str] = {
     "filter_eq": FILTER_EQ,
     "filter_or": FILTER_OR,
     "csv_scan": CSV_SCAN,
+    "csv_ingest": CSV_INGEST,
+    "split_random": SPLIT_RANDOM,
+    "tree_leaf_means": LEAF_MEANS,
+    "gbt_leaf_means": LEAF_MEANS,
+    "forest_leaf_means": LEAF_MEANS,
+    "logistic_mean": LOGISTIC_MEAN,
     "features_roundtrip": FEATURES_ROUNDTRIP,
     "assemble": ASSEMBLE,
     "split_by_key": SPLIT_BY_KEY,

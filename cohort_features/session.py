@@ -7,7 +7,6 @@ run the same plan shapes (AQE on, skew-join splitting on, UI off).
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,54 +84,46 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for tables between steps: the one the session names in
+    ``spark.checkpoint.dir`` (or set on its context), else the warehouse
+    folder. Both are the session's own configuration and visible to every
+    executor on a cluster; no folder is invented here."""
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    return (current or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
-    Library code never invents a machine-local folder: on a cluster a local
-    path would vanish with the executor that wrote it. (Spark places each
-    application's checkpoints in a fresh subfolder of the configured one, so
-    the folder is set once per context, never re-set.)
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(e.g. an object-store prefix) visible to every executor"
-        )
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir()
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only a single-machine session
-    (``local`` master, as in tests and the local bench) without one gets a
-    scratch folder. A cluster session without one is an error."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohort-ckpt-"))
-        return spark.sparkContext.getCheckpointDir()
-    return checkpoint_dir(spark)  # uses the configured folder, or raises
+
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh, unique path under the shared folder, noted for ``release``."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path through Spark's file system, wherever it is."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application wrote to ``scratch_path``s. Call it
+    when the DataFrames that read them are done with, at the latest before
+    the session stops."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet under the checkpoint folder and read it back.
+    """Write ``df`` as Parquet under the shared folder and read it back.
 
     This cuts the lineage (a lost executor re-reads the files instead of
     recomputing joins and aggregates) and gives later stages a columnar,
-    prunable input. Used before anything that scans its input many times
-    (model bake-offs, cross-validation).
+    prunable input. The files stay until ``release``.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -12,15 +12,18 @@ from cohort_features.sources.schemas import CLINICAL_SCHEMAS
 def read_csv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
     """CSV with a header row, typed by an explicit schema.
 
-    Columns are bound by header name (case-insensitive), so files may carry
-    extra columns in any order; only the schema's columns are kept. Every
-    field is read as text and converted with ``try_cast``: no inference pass
-    over the data, and a malformed field becomes NULL instead of failing the
-    task under ANSI mode.
+    Columns are bound by header name (case-insensitive), so the files may
+    carry extra columns in any order; only the schema's columns are kept. All
+    files of ``path`` must have the same header: one that differs fails the
+    query rather than being read under another file's names. Every field is
+    read as text and converted with ``try_cast``: no inference pass over the
+    data, and a malformed field becomes NULL instead of failing the task under
+    ANSI mode.
     """
     if not header:
         return spark.read.schema(schema).option("mode", "PERMISSIVE").csv(path)
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    names = spark.read.option("header", True).option("inferSchema", False).csv(path).schema
+    raw = spark.read.schema(names).option("header", True).option("enforceSchema", False).csv(path)
     return raw.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
     )

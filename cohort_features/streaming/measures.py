@@ -1,7 +1,7 @@
 """Subject measures kept current over an event stream.
 
-The batch operator's per-table aggregate is a set of (sum, count) pairs per
-subject, which Structured Streaming maintains incrementally: each micro-batch
+The batch operator's per-table aggregate is a set of means (sums and counts)
+per subject, which Structured Streaming maintains incrementally: each micro-batch
 is partially aggregated, merged into per-subject state (one row per subject,
 so state grows with the number of subjects, not events) and the derived
 measures are recomputed for the subjects that changed.
@@ -46,9 +46,9 @@ def streaming_measures(
 def start_measure_stream(
     measures: DataFrame,
     checkpoint_location: str,
-    sink: str = "memory",
+    sink: str,
+    output_mode: str,
     query_name: str = "subject_measures",
-    output_mode: str = "complete",
     trigger_available_now: bool = True,
     path: str | None = None,
 ) -> StreamingQuery:
@@ -56,8 +56,10 @@ def start_measure_stream(
 
     ``checkpoint_location`` must be on shared storage (under the folder named
     by ``spark.checkpoint.dir``) so a restarted driver resumes from the
-    committed offsets and state. ``output_mode="update"`` with a table sink
-    emits only the subjects whose measures changed in each micro-batch.
+    committed offsets and state. Sink and mode are the caller's choice:
+    ``"update"`` into a table emits only the subjects whose measures changed;
+    ``"complete"`` rewrites every subject at each micro-batch, and into the
+    ``"memory"`` sink (for tests) puts them all on the driver.
     """
     writer = (
         measures.writeStream.outputMode(output_mode)

@@ -10,7 +10,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from cohort_features.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from cohort_features.session import build_session, release  # noqa: E402
 from cohort_features.sources import schemas  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
@@ -18,9 +18,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="cohort_features_tests")
-    ensure_checkpoint_dir(s)
+    folder = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohort-tests-")}
+    s = build_session(master="local[4]", shuffle_partitions=4, app_name="cohort_features_tests", extra=folder)
     yield s
+    release(s)
     s.stop()
 
 

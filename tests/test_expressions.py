@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohort_features.functions import expressions as X
@@ -72,30 +73,62 @@ def test_safe_numeric(spark):
 
 
 def test_round_half_up_ties(spark):
-    df = spark.createDataFrame([(0.125,), (-0.125,), (2.5,), (1234.4999999999998,)], "x double")
+    df = spark.createDataFrame([(0.125,), (-0.125,), (1.005,), (2.5,), (1234.4999999999998,)], "x double")
     got = [r[0] for r in df.select(X.round_half_up("x", 2)).collect()]
-    assert got[:2] == [0.13, -0.13]
+    assert got[:3] == [0.13, -0.13, 1.01]
     got0 = [r[0] for r in df.select(X.round_half_up("x", 0)).collect()]
-    assert got0[2:] == [3.0, 1234.0]
+    assert got0[3:] == [3.0, 1234.0]
 
 
-def test_fixed_point_means_are_exact(spark):
+def test_declared_scale_means_are_exact(spark):
     # 10.1 and 12.2 average to 11.15 exactly; float sums would need luck
-    df = spark.createDataFrame([(1, 10.1), (1, 12.2), (2, 0.125), (2, 0.0)], "k int, v double")
-    agg = df.groupBy("k").agg(*X.micro_sum_parts(X.to_micros("v"), "s"), F.count("v").alias("n"))
-    got = {r["k"]: r["m"] for r in
-           agg.select("k", X.rounded_mean_from_micros(X.micro_total("s"), "n", 2).alias("m")).collect()}
-    assert got == {1: 11.15, 2: 0.06}
+    df = spark.createDataFrame([(1, 10.1), (1, 12.2), (2, 0.125), (2, 0.0), (3, None)], "k int, v double")
+    got = {r["k"]: r["m"] for r in df.groupBy("k").agg(X.mean("v", 3).alias("m")).collect()}
+    assert got == {1: 11.15, 2: 0.0625, 3: None}
 
 
-def test_micro_sums_do_not_overflow(spark):
-    # 10^6 readings of 10^7 in one group: 10^19 micro-units, beyond BIGINT
-    from cohort_features.operators.measures import group_mean
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), 1e30])
+def test_values_beyond_a_declared_scale_raise(spark, value):
+    df = spark.createDataFrame([(1, value), (1, 1.0)], "k int, v double")
+    with pytest.raises(Exception, match="(?i)out_of_range|declared scale"):
+        df.groupBy("k").agg(X.mean("v", 2)).collect()
 
-    df = spark.range(1_000_000).select(F.lit(1).alias("k"), F.lit(1e7).alias("v"))
-    df = df.unionByName(spark.createDataFrame([(2, -2.5), (2, 0.5)], "k int, v double"))
-    got = {r["k"]: r["m"] for r in group_mean(df, "k", "v", "m").collect()}
-    assert got == {1: 1e7, 2: -1.0}
+
+def _means(spark, rows):
+    """The same values through ``group_mean`` and ``subject_measures``."""
+    df = spark.createDataFrame(rows, "subject_id int, v double").withColumn("itemid", F.lit(1))
+    return _both(df)
+
+
+def _both(df):
+    from cohort_features.functions.catalog import Component, Measure, MeasureCatalogue
+    from cohort_features.operators.measures import group_mean, subject_measures
+
+    cat = MeasureCatalogue((Component("c", "s", (1,), "v"),), (Measure("m", "mean", ("c",), digits=None),))
+    a = {r["subject_id"]: r["m"] for r in group_mean(df, "subject_id", "v", "m").collect()}
+    b = {r["subject_id"]: r["m"] for r in subject_measures({"s": df}, cat).collect()}
+    return a, b
+
+
+def test_means_leave_no_value_out(spark):
+    nan = float("nan")
+    rows = [(1, 1e13), (1, 1.0), (2, nan), (2, 4.0), (3, 3e-7), (3, 4e-7), (4, float("inf")), (4, 1.0), (5, None), (5, 2.0)]
+    for got in _means(spark, rows):
+        assert got[1] == (1e13 + 1) / 2 and got[2] != got[2] and got[4] == float("inf") and got[5] == 2.0
+        assert abs(got[3] - 3.5e-7) < 1e-20
+
+
+def test_sums_of_many_large_values(spark):
+    df = spark.range(2_000_000).select(F.lit(1).alias("subject_id"), F.lit(9e12).alias("v"), F.lit(1).alias("itemid"))
+    assert _both(df) == ({1: 9e12}, {1: 9e12})
+    exact = df.groupBy("subject_id").agg(X.mean("v", 6).alias("m")).first()["m"]
+    assert exact == 9e12
+
+
+def test_short_arrays_give_nulls(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([],), (None,)], "a array<double>")
+    got = [tuple(r) for r in df.select(*X.array_slots("a", 3, "e")).collect()]
+    assert got == [(1.0, 2.0, None), (None,) * 3, (None,) * 3]
 
 
 def test_key_bucket_is_stable(spark):

@@ -55,3 +55,10 @@ def test_regression_metrics_match_evaluator(spark):
     for m in ("rmse", "mse", "mae", "r2"):
         assert math.isclose(RegressionEvaluator(metricName=m).evaluate(df), ours[m], rel_tol=1e-9), m
     assert ours["n"] == 200
+
+
+def test_regression_metrics_skip_rows_without_both_values(spark):
+    rows = [(1.0, 1.5), (2.0, 2.0), (3.0, 2.5), (100.0, None), (None, 7.0)]
+    got = metrics.regression_metrics(spark.createDataFrame(rows, "label double, prediction double")).first()
+    assert (got["n"], got["n_skipped"]) == (3, 2)
+    assert math.isclose(got["r2"], 1 - 0.5 / 2.0) and math.isclose(got["mae"], 1 / 3)

@@ -66,8 +66,20 @@ def test_single_scan_queries_do_not_shuffle(no_broadcast):
         assert re.search(r"^(\+- )?\* (Project|Filter)", text.split("\n\n")[0], re.M), name
 
 
-def test_stay_level_join_shape(no_broadcast):
-    # the subject table is written first; the stay-level plan then shuffles
-    # admissions and the subject table by subject, and the stays by admission
-    _, shuffles, scans = _plan(no_broadcast, "stay_features")
-    assert (shuffles, scans) == (4, 3)
+def test_flagship_joins_lines_with_orders_once(no_broadcast):
+    text, shuffles, scans = _plan(no_broadcast, "stay_features")
+    tree = text.split("\n\n")[0]
+    assert tree.count("SortMergeJoin") <= 7
+    reads = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    # once for labs and diagnoses together (with its order), once for the stays
+    lines = [r for r in reads if "l_orderkey" in r]
+    assert len(lines) == 2 and sum("l_partkey" in r for r in lines) == 1
+    assert (shuffles, scans) == (10, 7)
+
+
+def test_stays_meet_admissions_on_narrow_rows(no_broadcast):
+    """No chapter count goes through the admission shuffle."""
+    text, _, _ = _plan(no_broadcast, "cohort_features")
+    for block in re.findall(r"\(\d+\) Exchange\n(.*?)\n\n", text, re.S):
+        if re.search(r"hashpartitioning\(hadm_id", block):
+            assert "icd9_g" not in block

@@ -3,6 +3,7 @@ and the rows-only ones for running and returning rows."""
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 
@@ -38,8 +39,12 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_query_runs(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() > 0
+    rows = QUERIES[name](spark, SF_SMALL).collect()
+    assert rows
+    if {"model", "metric", "value"} <= set(rows[0].__fields__):
+        values = {(r["model"], r["metric"]): r["value"] for r in rows}
+        assert all(v is None or math.isfinite(v) for v in values.values()), values
+        assert all(0 <= v <= 1 for (_, m), v in values.items() if m == "accuracy")
 
 
 def test_entry_smoke(spark):

@@ -7,14 +7,46 @@ import io
 
 from pyspark.sql import functions as F
 
-from cohort_features.session import checkpoint_dir, ensure_checkpoint_dir, materialize, scratch_path
+from cohort_features.plans import queries
+from cohort_features.session import materialize, release, scratch_path, shared_dir
+from tests.conftest import SF_SMALL
 
 
-def test_existing_checkpoint_folder_is_used(spark):
-    before = checkpoint_dir(spark)
-    assert ensure_checkpoint_dir(spark) == before
+def test_shared_folder_is_the_sessions(spark):
+    assert shared_dir(spark) == spark.sparkContext.getCheckpointDir().rstrip("/")
     p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
-    assert p1 != p2 and p1.startswith(before.rstrip("/"))
+    assert p1 != p2 and p1.startswith(shared_dir(spark))
+
+
+def _listing(spark):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {str(s.getPath().getName()) for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def test_release_removes_what_queries_wrote(spark):
+    release(spark)
+    before = _listing(spark)
+    for name in ("csv_scan", "csv_ingest", "features_roundtrip"):
+        assert queries.QUERIES[name](spark, SF_SMALL).count() > 0
+    assert _listing(spark) > before
+    release(spark)
+    assert _listing(spark) == before
+
+
+def test_planning_the_flagship_starts_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-only", "planning")
+    try:
+        df = queries.stay_features(spark, SF_SMALL)
+        with contextlib.redirect_stdout(io.StringIO()):
+            df.explain("formatted")
+        jobs = tracker.getJobIdsForGroup("plan-only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # reading a table's schema runs a one-task job on the footer; nothing else may run
+    stages = [s for j in jobs for s in tracker.getJobInfo(j).stageIds]
+    assert all(tracker.getStageInfo(s) is None or tracker.getStageInfo(s).numTasks == 1 for s in stages)
 
 
 def test_materialize_cuts_lineage(spark):

@@ -13,8 +13,8 @@ from cohort_features.operators import cohort, measures
 
 CAT = MeasureCatalogue(
     components=(
-        Component("hr", "charts", (1,), "valuenum"),
-        Component("bp", "charts", (2, 3), "valuenum"),
+        Component("hr", "charts", (1,), "valuenum", scale=2),
+        Component("bp", "charts", (2, 3), "valuenum", scale=2),
     ),
     measures=(Measure("avg_hr", "mean", ("hr",)), Measure("avg_bp", "mean", ("bp",))),
 )
@@ -81,12 +81,13 @@ def test_hot_subject_stay_join_is_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
     }
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = cohort.stay_cohort(adm, stays, pats, dx, cut_subjects=True)
+        out = cohort.stay_cohort(adm, stays, pats, dx)
         sel = out.select("subject_id", "hadm_id", "los", "age")
         rows = sel.collect()
         assert len(rows) == n
@@ -98,6 +99,9 @@ def test_hot_subject_stay_join_is_split(spark):
         plan = buf.getvalue()
         assert "isFinalPlan=true" in plan
         assert "skew=true" in plan
+        # the salt alone deals the hot subject to several tasks
+        parts = sel.withColumn("p", F.spark_partition_id()).filter("subject_id = 0").select("p").distinct().count()
+        assert parts >= 3
     finally:
         for k, v in old.items():
             if v is None:

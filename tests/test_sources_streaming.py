@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohort_features.functions.catalog import CLINICAL_CATALOGUE
@@ -28,6 +29,16 @@ def test_csv_binds_by_header_name(spark, scratch):
     assert got == [(7, 50971, "4.5"), (7, 50971, "ERROR"), (8, 51006, None), (9, None, "12")]
 
 
+def test_csv_files_with_other_headers_are_refused(spark, scratch):
+    folder = os.path.join(scratch, "mixed")
+    os.mkdir(folder)
+    for name, text in (("a.csv", "subject_id,icd9_code\n1,0389\n"), ("b.csv", "icd9_code,subject_id\n4,40\n")):
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.read_csv(spark, folder, schemas.DIAGNOSES).collect()
+
+
 def test_csv_ingest_to_parquet(spark, scratch):
     src = os.path.join(scratch, "dx.csv")
     with open(src, "w") as fh:
@@ -61,7 +72,7 @@ def test_streaming_measures_match_batch(spark, scratch, clinical):
         p.write.parquet(os.path.join(src, f"batch={i}"))
     stream = spark.readStream.schema(charts.schema).parquet(os.path.join(src, "*"))
     live = streaming_measures(stream, CLINICAL_CATALOGUE, "charts")
-    q = start_measure_stream(live, os.path.join(scratch, "ckpt"), query_name="charts_measures_test")
+    q = start_measure_stream(live, os.path.join(scratch, "ckpt"), "memory", "complete", query_name="charts_measures_test")
     q.awaitTermination()
     got = spark.table("charts_measures_test")
     charts_only = _single_source(CLINICAL_CATALOGUE, "charts")
