@@ -2,7 +2,8 @@
 
 1. Random indexing over the whole corpus. A token (a word, a number, a run of
    punctuation, and for each its shape) has a sparse ternary index vector, a
-   fixed function of its hash: 4 of 32 places, plus or minus one. A token's
+   fixed function of its hash: 4 of 32 places plus or minus one, one of 4096
+   such vectors. A token's
    context vector is the sum of the index vectors around it (two tokens to
    each side), summed over all documents. Tokens share 16,384 rows by hash, so
    a task's table has 4 MB however many words there are; tables are summed in
@@ -26,18 +27,15 @@ without labels); other columns are not read.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_features.llm.batches import map_rows
 from cohort_features.llm.common import store, text_or_empty
-from cohort_features.llm.words import WordHash
+from cohort_features.llm.words import mix
 
-ROWS, DIM, NONZERO, WINDOW = 1 << 14, 32, 4, 2
+ROWS, DIM, NONZERO, WINDOW, VECTORS = 1 << 14, 32, 4, 2, 1 << 12
 PIECE = 64  # rows of the table that travel together
 BUFFER_TOKENS = 100_000
 HIDDEN, EPOCHS, RATE, DECAY, BATCH = 32, 60, 3e-3, 1e-4, 256
@@ -45,74 +43,128 @@ TRAIN_ROWS = 20_000
 FOLD, HELD = 5, 0
 THRESHOLD = 0.3
 
-TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+SHAPES = ("lower", "upper", "title", "mixed", "number", "mark")
+FEATURES = 2 * DIM + 2 * len(SHAPES) + 5
 
+# kinds of characters: runs of one kind are tokens, white space ends them
+SPACE, LETTER, DIGIT, LINE, MARK = range(5)
+BLOCK_CHARS = 1 << 18
 
-def _shape(token: str) -> str:
-    c = token[0]
-    if c.isalpha():
-        if token.islower():
-            return "lower"
-        if len(token) > 1 and token.isupper():
-            return "upper"
-        return "title" if token[1:].islower() or len(token) == 1 else "mixed"
-    return "number" if c.isdigit() else "mark"
 
+def _kind(c: str) -> int:
+    if c.isspace():
+        return SPACE
+    if c.isdecimal():
+        return DIGIT
+    return LETTER if c.isalnum() else LINE if c == "_" else MARK
+
+
+#: kind of each character of the basic plane, others count as marks
+KIND = np.array([_kind(chr(i)) for i in range(1 << 16)] + [MARK], dtype=np.uint8)
+UPPER = np.array([chr(i).isupper() for i in range(1 << 16)] + [False])
 
-SHAPES = ("lower", "upper", "title", "mixed", "number", "mark")
-FEATURES = 2 * DIM + 2 * len(SHAPES) + 5
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n + 1, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
-class TokenHash(WordHash):
-    """token -> 64-bit hash with its shape's number in the lowest 3 bits."""
 
-    def __missing__(self, token: str) -> int:
-        if len(self) >= 200_000:
-            self.clear()
-        h = xxhash.xxh3_64_intdigest(token.encode("utf-8", "surrogatepass"))
-        h = self[token] = (h & ~7) | SHAPES.index(_shape(token))
-        return h
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = _powers(_BASE, BLOCK_CHARS)
+_INVERSE = _powers(pow(_BASE, -1, 1 << 64), BLOCK_CHARS)
 
 
-TOKEN_HASH = TokenHash()
+def _block_hashes(c: np.ndarray) -> np.ndarray:
+    at = np.minimum(c, 1 << 16)
+    kind = KIND[at]
+    new = np.empty(len(c) + 1, dtype=bool)
+    new[0] = new[-1] = True
+    np.not_equal(kind[1:], kind[:-1], out=new[1:-1])
+    edge = np.flatnonzero(new)
+    start, end = edge[:-1], edge[1:]
+    word = kind[start] != SPACE
+    start, end = start[word], end[word]
+    x = c.astype(np.uint64) + np.uint64(1)
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(29)
+    sums = np.zeros(len(c) + 1, dtype=np.uint64)
+    np.cumsum(x * _POWERS[: len(c)], out=sums[1:])
+    h = mix((sums[end] - sums[start]) * _INVERSE[start] ^ (end - start).astype(np.uint64))
+    uppers = np.zeros(len(c) + 1, dtype=np.int32)
+    np.cumsum(UPPER[at], out=uppers[1:])
+    n, up, first = end - start, uppers[end] - uppers[start], UPPER[at[start]]
+    shape = np.where(up == 0, 0, np.where((up == n) & (n > 1), 1, np.where((up == 1) & first, 2, 3)))
+    shape = np.where(kind[start] == LETTER, shape, np.where(kind[start] == DIGIT, 4, 5))
+    return (h & ~np.uint64(7)) | shape.astype(np.uint64)
 
 
 def token_hashes(text: str | None) -> np.ndarray:
-    return TOKEN_HASH.many(TOKEN.findall(text or ""))
+    """64-bit hashes of the text's tokens in order (a polynomial over the
+    characters, from prefix sums), each with its shape's number in the lowest
+    3 bits. Long texts go in blocks, which may cut a token in two."""
+    c = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    blocks = [_block_hashes(c[i : i + BLOCK_CHARS]) for i in range(0, len(c), BLOCK_CHARS)]
+    return blocks[0] if len(blocks) == 1 else np.concatenate([np.zeros(0, dtype=np.uint64), *blocks])
 
 
 def _row(h: np.ndarray) -> np.ndarray:
-    return ((h >> np.uint64(3)) & np.uint64(ROWS - 1)).astype(np.int64)
+    return ((h >> np.uint64(3)) & np.uint64(ROWS - 1)).astype(np.uint16)
 
 
-def _shape_row(h: np.ndarray) -> np.ndarray:
-    """Shapes as tokens of their own: rows that words seldom share."""
-    return ((h & np.uint64(7)) * np.uint64(2477)).astype(np.int64) % ROWS
+#: rows of the shapes as tokens of their own
+SHAPE_ROWS = np.arange(len(SHAPES)) * 2477 % ROWS
+
+
+def _index_vectors() -> np.ndarray:
+    """The fixed sparse ternary vectors; a token's is chosen by 12 hash bits."""
+    rng = np.random.default_rng(32)
+    out = np.zeros((VECTORS, DIM), dtype=np.int8)
+    for v in out:
+        v[rng.choice(DIM, NONZERO, replace=False)] = rng.choice([-1, 1], NONZERO)
+    return out
+
+
+INDEX_VECTORS = _index_vectors()
+
+
+def index_vectors(h: np.ndarray) -> np.ndarray:
+    return INDEX_VECTORS[((h >> np.uint64(17)) & np.uint64(VECTORS - 1)).astype(np.int64)]
 
 
 def context_counts(docs: list[np.ndarray]) -> np.ndarray:
     """Summed index vectors of the neighbours of each row's tokens."""
-    flat, sign = [], []
-    for h in docs:
-        rows, shapes = _row(h), _shape_row(h)
-        for gap in range(1, WINDOW + 1):
-            for a, b in ((slice(gap, None), slice(None, -gap)), (slice(None, -gap), slice(gap, None))):
-                near = h[b]
-                for j in range(NONZERO):
-                    place = ((near >> np.uint64(17 + 5 * j)) & np.uint64(DIM - 1)).astype(np.int64)
-                    flat += [rows[a] * DIM + place, shapes[a] * DIM + place]
-                    s = 1.0 - 2.0 * ((near >> np.uint64(40 + j)) & np.uint64(1))
-                    sign += [s, s]
-    if not flat:
-        return np.zeros(ROWS * DIM)
-    return np.bincount(np.concatenate(flat), weights=np.concatenate(sign), minlength=ROWS * DIM)
+    out = np.zeros((ROWS, DIM))
+    docs = [h for h in docs if len(h)]
+    if not docs:
+        return out
+    gap = np.zeros((WINDOW, DIM), dtype=np.int8)  # nothing is near over a document's end
+    v = np.concatenate([x for h in docs for x in (index_vectors(h), gap)])
+    near = np.zeros(v.shape, dtype=np.int16)
+    for d in range(1, WINDOW + 1):
+        near[d:] += v[:-d]
+        near[:-d] += v[d:]
+    inside = np.ones(len(v), dtype=bool)
+    ends = np.cumsum([len(h) + WINDOW for h in docs])
+    for d in range(1, WINDOW + 1):
+        inside[ends - d] = False
+    near, h = near[inside], np.concatenate(docs)
+    rows = _row(h)
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    out[rows[first]] += np.add.reduceat(near[order], first, axis=0, dtype=np.int64)
+    shape = h & np.uint64(7)
+    for k, row in enumerate(SHAPE_ROWS):
+        out[row] += near[shape == k].sum(axis=0, dtype=np.int64)
+    return out
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit context vectors (ROWS x DIM), from all documents."""
 
     def count(rows):
-        total, held, n = np.zeros(ROWS * DIM), [], 0
+        total, held, n = np.zeros((ROWS, DIM)), [], 0
         for (text,) in rows:
             h = token_hashes(text)
             for i in range(0, len(h), BUFFER_TOKENS):

@@ -40,19 +40,31 @@ def test_word_vectors_match_a_loop(docs):
     want = np.zeros((quality.ROWS, quality.DIM))
     for r in docs.collect():
         h = quality.token_hashes(r["text"])
-        rows, shapes = quality._row(h), quality._shape_row(h)
+        rows, shape = quality._row(h), (h & np.uint64(7)).astype(int)
+        index = quality.index_vectors(h)
         for i in range(len(h)):
             for j in range(max(0, i - quality.WINDOW), min(len(h), i + quality.WINDOW + 1)):
                 if i != j:
-                    for k in range(quality.NONZERO):
-                        place = (int(h[j]) >> (17 + 5 * k)) % quality.DIM
-                        sign = 1 - 2 * ((int(h[j]) >> (40 + k)) & 1)
-                        want[rows[i], place] += sign
-                        want[shapes[i], place] += sign
+                    want[rows[i]] += index[j]
+                    want[quality.SHAPE_ROWS[shape[i]]] += index[j]
     want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
     assert np.allclose(quality.word_vectors(docs), want, atol=1e-4)
 
 
+def test_tokens_are_the_patterns(monkeypatch):
+    pattern = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
+    rng = random.Random(1)
+    signs = ["ab", "B", "É", "é", "1", "²", "_", "__", " ", "\n", "!!", "*", "漢", "\u0301", "x", "　"]
+    seen: dict[str, int] = {}
+    for _ in range(2000):
+        t = "".join(rng.choice(signs) for _ in range(rng.randrange(12)))
+        tokens, hashes = pattern.findall(t), quality.token_hashes(t).tolist()
+        assert len(tokens) == len(hashes)
+        assert all(seen.setdefault(a, b) == b for a, b in zip(tokens, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen)
+    assert [int(h) & 7 for h in quality.token_hashes("ab AB Ab aB 12 !? _")] == [0, 1, 2, 3, 4, 5, 5]
+
+
 def test_quality_of_edge_rows(spark, edge, empty):
     labels = spark.createDataFrame([(1, 0, 0), (4, 1, 0), (4, None, 0), (None, 1, 0), (99, 0, 0)], "doc_id long, quality int, toxic int")
     none = labels.limit(0)
