@@ -4,8 +4,9 @@
   session names in ``spark.checkpoint.dir``; a lost executor re-reads files.
 * ``with_group`` joins per-key aggregates back to the rows without ever
   sending a hot key's rows to one task.
-* ``keep_ids`` / ``join_small`` broadcast a side only after counting it, and
-  shuffle it beyond the bound.
+* ``join_small`` broadcasts a side only after counting it, and shuffles it
+  beyond the bound.
+* ``bounded_sample`` brings a bounded sample to the driver.
 """
 
 from __future__ import annotations
@@ -98,6 +99,17 @@ def with_group(df: DataFrame, key: str, aggs: list[Column], rows: int | None = N
     return is_hot.unionByName(cold.select(*is_hot.columns))
 
 
+def bounded_sample(df: DataFrame, most: int, *keys: str) -> list:
+    """At most ``most`` rows on the driver, chosen by the hash of ``keys``. A
+    hash threshold thins the rows first, so that partitions send the driver
+    little more than that in all, however many there are."""
+    n, h = df.count(), F.xxhash64(*keys)
+    if n > most:
+        span = 1 << 30
+        df = df.filter(F.pmod(h, F.lit(span)) < F.lit(int(span * min(1.0, 1.25 * most / n))))
+    return df.orderBy(h, *keys).limit(most).collect()
+
+
 def python_env() -> None:
     """One thread for each Python worker; called before native libraries load."""
     for k, v in ONE_THREAD.items():

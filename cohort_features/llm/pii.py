@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort_features.llm.batches import map_rows
-from cohort_features.llm.common import store
+from cohort_features.llm.common import bounded_sample, store
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_SPANS = 50_000
@@ -206,7 +206,7 @@ def find_pii(docs: DataFrame, train_spans: int = TRAIN_SPANS, least: float = LEA
     each = found.filter(F.size("spans") > 0).select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.*")
     counts = {(r["kind"], r["votes"]): r["n"] for r in each.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).collect()}
     belief = reliabilities(counts)
-    sample = each.orderBy(F.xxhash64("doc_id", "kind", "a", "b")).limit(train_spans).select("kind", "votes", "form").collect()
+    sample = bounded_sample(each.drop("base"), train_spans, "doc_id", "kind", "a", "b")
     w = train([(r["form"], belief[r["kind"], r["votes"]]) for r in sample])
 
     def decide(rows):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_features.llm.batches import map_rows
-from cohort_features.llm.common import store, text_or_empty
+from cohort_features.llm.common import bounded_sample, store, text_or_empty
 from cohort_features.llm.words import mix
 
 ROWS, DIM, NONZERO, WINDOW, VECTORS = 1 << 14, 32, 4, 2, 1 << 12
@@ -278,7 +278,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
 
     made = store(map_rows(text, features, "rid long, doc_id long, features binary"), "features")
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).dropna().filter(~held_out(F.col("doc_id")))
-    sample = made.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "rid", "quality").limit(train_rows).select("features", "quality").collect()
+    sample = bounded_sample(made.join(known, "doc_id").select("features", "quality", "doc_id", "rid"), train_rows, "doc_id", "rid", "quality")
     x = np.array([np.frombuffer(r["features"], dtype=np.float32) for r in sample]).reshape(-1, FEATURES).astype(np.float64)
     net = Network(x, np.array([r["quality"] for r in sample]))
 
