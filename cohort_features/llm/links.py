@@ -23,6 +23,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any, Protocol
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,6 +158,37 @@ def connect(members: DataFrame, payload: DataFrame, matcher: Matcher) -> DataFra
     return out
 
 
+def shared_buckets(keys: DataFrame) -> DataFrame:
+    """The distinct (key, id) rows whose key has two ids or more, from rows
+    (key, id) with repeats: one shuffle, one sort, and a pass over the sorted
+    rows that holds one batch and the last row before it."""
+    dealt = keys.select("key", "id").repartition("key").sortWithinPartitions("key", "id")
+
+    def run(batches):
+        last: tuple[int, int, bool] | None = None  # key, id, whether it was given out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, i = (c.to_numpy() for c in batch.columns)
+            new = np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1])]
+            if last and (key[0], i[0]) == last[:2]:
+                new[0] = False
+            key, i = key[new], i[new]
+            if not len(key):
+                continue
+            before = np.r_[last is not None and key[0] == last[0], key[1:] == key[:-1]]
+            after = np.r_[key[:-1] == key[1:], False]
+            out = before | after
+            ks, ids = key[out], i[out]
+            if before[0] and not last[2]:  # the row before this batch turns out to share its key
+                ks, ids = np.r_[np.int64(last[0]), ks], np.r_[np.int64(last[1]), ids]
+            last = (int(key[-1]), int(i[-1]), bool(out[-1]))
+            if len(ks):
+                yield pa.RecordBatch.from_arrays([pa.array(ks), pa.array(ids)], names=["key", "id"])
+
+    return dealt.mapInArrow(run, "key long, id long")
+
+
 def _mark(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return r[0], r[1]
