@@ -40,9 +40,19 @@ def _batch(held: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
+#: rows that Spark hands to Python at once; its default of 10,000 texts may
+#: take hundreds of megabytes outside the heap of an executor
+BATCH_ROWS = 1000
+BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def map_rows(df: DataFrame, fn: Callable[[Rows], Rows], schema: str) -> DataFrame:
     """``df`` through ``fn`` (an iterator of tuples to an iterator of tuples),
-    partition by partition, in order."""
+    partition by partition, in order. Lowers the session's Arrow batch size to
+    ``BATCH_ROWS`` if it is larger."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_KEY, "10000")) <= BATCH_ROWS:
+        conf.set(BATCH_KEY, str(BATCH_ROWS))
     out: StructType = _parse_datatype_string(schema)
     arrow = to_arrow_schema(out)
 

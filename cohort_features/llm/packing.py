@@ -35,7 +35,7 @@ from cohort_features.llm.common import python_env, store
 LENGTH = 2048
 END_ID = 1
 SPECIAL = {"<|endoftext|>": 50256}  # fixed value of the vocabulary
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 
 def _default_ranks() -> str:
@@ -110,6 +110,7 @@ def token_ids(docs: DataFrame, ranks_path: str | None = None) -> DataFrame:
             ids = np.frombuffer(encode(text or ""), "<u4")
             yield part, before, doc_id, ids.astype("<u2").tobytes()
             before += len(ids) + 1
+        encoder(path).cache.clear()  # workers live on
 
     return map_rows(docs.select(F.spark_partition_id().alias("part"), "doc_id", "text"), run, "part int, before long, doc_id long, ids binary")
 
