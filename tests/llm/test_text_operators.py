@@ -86,6 +86,75 @@ def test_lines_of_edge_rows(edge, empty):
     assert lines.cleaned(empty, lines.duplicate_lines(empty)).count() == 0
 
 
+def plain_similar_groups(rows):
+    """As ``plain_line_groups``, by edit similarity alone."""
+    at = defaultdict(list)
+    for i, text in rows:
+        for no, w in enumerate(lines.normalised(text)):
+            if len(w) >= lines.MIN_WORDS:
+                at[tuple(w)].append((i, no))
+    keys = list(at)
+    u = brute.Union()
+    for a in range(len(keys)):
+        for b in range(a):
+            longer, shorter = max(len(keys[a]), len(keys[b])), min(len(keys[a]), len(keys[b]))
+            shared = sum((Counter(keys[a]) & Counter(keys[b])).values())  # edits leave 0.8 of the words
+            if shorter >= 0.8 * longer - 1e-9 and shared >= 0.8 * longer - 1e-9:
+                if 1 - brute.edit_distance(keys[a], keys[b]) / longer >= lines.SIMILARITY - 1e-9:
+                    u.join(a, b)
+    groups = defaultdict(list)
+    for k, key in enumerate(keys):
+        groups[u.find(k)] += at[key]
+    return {x: min(g) for g in groups.values() if len(g) > 1 for x in g}
+
+
+def reworded(rng, w, changes):
+    """``w`` with a word replaced, put in or taken out for each change."""
+    w = list(w)
+    for _ in range(changes):
+        k = rng.randrange(len(w) + 1)
+        w[k : k + rng.randrange(2)] = rng.choice([[], ["x" + "abcdefgh"[rng.randrange(8)]]])
+    return w
+
+
+@pytest.mark.parametrize("screened", [256, 3])
+def test_every_line_of_edit_similarity_is_found(spark, monkeypatch, screened):
+    from cohort_features.llm import queries
+
+    monkeypatch.setattr(lines, "SCREENED", screened)
+    rng = random.Random(31)
+    texts = []
+    for _ in range(90):
+        w = words(rng, rng.randrange(3, 40), 60)  # few words, so unlike lines share pairs
+        texts += [w, *(reworded(rng, w, rng.randrange(1, max(2, len(w) // 5 + 1))) for _ in range(rng.randrange(3)))]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)]
+    table = stored(spark, rows)
+    want = plain_similar_groups([r[:2] for r in rows])
+    monkeypatch.setattr(queries, "documents", lambda *_: table)
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in queries.op3_lines(spark, "").collect()}
+    assert got == want and len(want) > len(plain_line_groups([r[:2] for r in rows])) > 0
+
+
+def test_prefixes_of_similar_lines_meet():
+    rng = random.Random(32)
+    levels = np.zeros(lines.BINS, dtype=np.uint8)
+    for _ in range(1500):
+        a = words(rng, rng.randrange(4, 60), 30)
+        b = reworded(rng, a, rng.randrange(1, 14))
+        if a != b and lines.similar(a, b):
+            h, starts, sizes = lines._flat([a, b])
+            keys, line = lines.prefix_keys(h, sizes, levels, lines.SIMILARITY)
+            assert set(keys[line == 0].tolist()) & set(keys[line == 1].tolist())
+            sign = lines.signs(h, starts, sizes)
+            assert lines._may_link(sign[0], sign[1], lines.SIMILARITY)
+
+
+def test_whole_lines_of_edge_rows(edge, empty):
+    plain, whole = (lines.duplicate_lines(edge, whole=w).collect() for w in (False, True))
+    assert Counter(plain) == Counter(whole)
+    assert lines.duplicate_lines(empty, whole=True).count() == 0
+
+
 # --- substring -----------------------------------------------------------------
 
 
