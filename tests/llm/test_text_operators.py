@@ -155,6 +155,20 @@ def test_whole_lines_of_edge_rows(edge, empty):
     assert lines.duplicate_lines(empty, whole=True).count() == 0
 
 
+def test_short_lines_are_grouped_and_removed(spark):
+    from cohort_features.llm import queries
+
+    rows = [(i, f"Read more\n{' '.join(words(random.Random(i), 8, 10**6))}\n\npage {i}\nall rights {'' if i % 2 else 'now '}reserved", "en", "s", 0) for i in range(6)]
+    table = stored(spark, rows)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(queries, "documents", lambda *_: table)
+        got = queries.op3_lines(spark, "").collect()
+    found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in got}
+    assert found == {(i, no): (i % 2 if no == 4 else 0, no) for i in range(6) for no in (0, 3, 4)}
+    left = {r["doc_id"]: r["text"].split("\n") for r in lines.cleaned(table, lines.duplicate_lines(table, whole=True)).collect()}
+    assert [len(left[i]) for i in range(6)] == [5, 3, 2, 2, 2, 2]
+
+
 # --- substring -----------------------------------------------------------------
 
 
