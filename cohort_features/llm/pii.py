@@ -47,7 +47,8 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DIGIT = re.compile(r"[0-9]")
-AT_WORD = re.compile(r"[\[(]at[\])]| at [A-Za-z0-9-]+(?:\.[A-Za-z0-9]| dot )")
+#: in every text that LOOSE's email pattern matches
+AT_WORD = re.compile(r"[\[(]at[\])]| at [A-Za-z0-9-]+(?:\.[A-Za-z0-9-]| dot | ?[\[(]dot[\])])")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 LOOSE = {
     "email": re.compile(r"\b[A-Za-z0-9._%+-]{1,64}(?: ?[\[(]at[\])] ?| at )[A-Za-z0-9-]{1,63}(?:(?:\.| ?[\[(]dot[\])] ?| dot )[A-Za-z0-9-]{1,63}){1,8}\b"),

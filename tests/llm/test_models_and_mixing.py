@@ -270,6 +270,13 @@ def test_mixing_of_edge_rows(edge, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def test_loose_emails_are_looked_for_wherever_they_match():
+    for at in (" at ", "[at]", " (at) ", "(at)", " [at] "):
+        for dot in (".", " dot ", "[dot]", "(dot)", " [dot] ", " (dot) ", ".-"):
+            t = f"write to john.doe{at}example{dot}com today"
+            assert [t[a:b] for k, a, b in pii.loose_spans(t, []) if k == 0] == [f"john.doe{at}example{dot}com"], t
+
+
 # --- pipeline ------------------------------------------------------------------
 
 
