@@ -12,12 +12,13 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort_features.session import remove, shared_dir
+
 #: rows of (two or three longs) that may be broadcast; more are shuffled
 BROADCAST_ROWS = 400_000
 #: a key is hot when it holds more rows than this and over 1/1000 of them all
@@ -31,12 +32,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only where a session
-    names none (tests on one machine) a folder is chosen here."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-ckpt-"))
-    return sc.getCheckpointDir().rstrip("/")
+    """The folder named by ``spark.checkpoint.dir``, else the warehouse: both
+    are the session's own and every executor sees them."""
+    return shared_dir(spark)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -54,16 +52,51 @@ def drop(*tables: DataFrame) -> None:
     for t in tables:
         path = getattr(t, "_stored_at", None)
         if path:
-            jvm = t.sparkSession.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def numbered(docs: DataFrame, *keep: str) -> DataFrame:
-    """``docs`` with a row number ``rid`` (unique, not dense), so that repeated
-    or null doc_ids stay apart. The input must be a stored table: its splits,
-    and with them the numbers, are the same whenever it is read again."""
-    return docs.select(F.monotonically_increasing_id().alias("rid"), *keep)
+            remove(t.sparkSession, path)
+
+
+FILE_BITS = 40  # bits of a row number that number the row in its file
+MOST_FILES = 400_000  # files whose numbers may be broadcast
+
+
+def _plain_read(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a Parquet read with nothing but columns and filters
+    above it, so that each row is one row of one file."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    if plan.nodeName() != "LogicalRelation" or "HadoopFsRelation" not in plan.relation().getClass().getName():
+        return False
+    return "Parquet" in plan.relation().fileFormat().getClass().getName()
+
+
+def numbered(docs: DataFrame, *keep: str | Column) -> DataFrame:
+    """``keep`` of ``docs`` with a row number ``rid`` (unique, not dense), so
+    that repeated or null doc_ids stay apart. The number is the place of the
+    row's file among the files by path, and the row's place in that file: the
+    same in every plan, whatever splits, cores or executors there are. Splits
+    don't enter it. What is no plain read of Parquet files (or one of too many
+    files to number) is written once, and the copy is numbered."""
+    here = getattr(docs, "_copy", docs)
+    if here is docs and not _plain_read(docs):
+        here = docs._copy = store(docs, "copy")
+    place = here.metadataColumn("_metadata")
+    files = here.select(place["file_path"].alias("_file")).distinct()
+    names = sorted(r["_file"] for r in files.limit(MOST_FILES + 1).collect())  # paths, as many as there are files
+    if len(names) > MOST_FILES and here is docs:
+        docs._copy = store(docs.coalesce(MOST_FILES // 4), "copy")
+        return numbered(docs, *keep)
+    if len(names) < 2:
+        return here.select(place["row_index"].alias("rid"), *keep)
+    ranks = docs.sparkSession.createDataFrame(list(enumerate(names)), "_rank long, _file string")
+    placed = here.select(place["file_path"].alias("_file"), place["row_index"].alias("_row"), *keep).join(F.broadcast(ranks), "_file")
+    rid = F.shiftleft("_rank", FILE_BITS).bitwiseOR(F.col("_row")).alias("rid")
+    return placed.select(rid, *[F.col(c) for c in placed.columns if c not in ("_file", "_row", "_rank")])
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """``rid`` and all columns of ``docs`` as one struct ``doc``."""
+    return numbered(docs, F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
 
 
 def text_or_empty() -> Column:

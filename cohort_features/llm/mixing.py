@@ -14,8 +14,9 @@ holds the border, and only that slice's documents are ordered. The corpus is
 scanned, never shuffled.
 
 Defined results: null domain, language or source count as ``(none)``; null
-and empty texts have 0 tokens and come with their leaf's order; ties in the
-order are broken by row number, so repeated rows are drawn on their own; a
+and empty texts have 0 tokens and come with their leaf's order; the order is a
+hash of doc_id and text, so one seed draws the same documents from any layout
+of the files, and its ties (repeated rows) are broken by row number; a
 budget above what all leaves can give takes everything ``max_epochs`` times;
 an empty table gives no rows; other columns pass through. One row per leaf
 (of the metadata, not of the documents) passes the driver.
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohort_features.llm.common import drop, join_small, store
+from cohort_features.llm.common import drop, join_small, numbered, store
 
 LEVELS = ("domain", "lang", "source")
 MAX_EPOCHS = 4
@@ -127,8 +128,9 @@ def mix(
     none = F.lit("(none)")
     path = F.array(F.coalesce((domain if domain is not None else domain_of_source()).cast("string"), none), *[F.coalesce(F.col(c).cast("string"), none) for c in LEVELS[1:]])
     count = measure if measure is not None else tokens()
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), path.alias("mix_leaf"), F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
-    narrow = store(docs.select(F.monotonically_increasing_id().alias("rid"), path.alias("mix_leaf"), count.alias("mix_tokens")), "tokens")
+    identity = F.xxhash64(*[F.col(c) for c in ("doc_id", "text") if c in docs.columns]).alias("mix_key")
+    rows = numbered(docs, path.alias("mix_leaf"), identity, F.struct(*[F.col(c) for c in docs.columns]).alias("doc"))
+    narrow = store(numbered(docs, path.alias("mix_leaf"), identity, count.alias("mix_tokens")), "tokens")
 
     sums = narrow.groupBy("mix_leaf").agg(F.sum("mix_tokens").alias("n"), F.count(F.lit(1)).alias("docs"))
     leaves = {tuple(r["mix_leaf"]): r["n"] for r in sums.collect()}
@@ -139,11 +141,11 @@ def mix(
         plan.append((list(leaf), int(whole), int(rest)))
     planned = spark.createDataFrame(plan, "mix_leaf array<string>, whole int, rest long")
 
-    def order(epoch: Column, rid: Column) -> Column:
-        return F.xxhash64(F.lit(seed), epoch, rid)
+    def order(epoch: Column) -> Column:
+        return F.xxhash64(F.lit(seed), epoch, F.col("mix_key"))
 
     slice_of = F.pmod(F.shiftrightunsigned("u", 52), F.lit(SLICES)).cast("int")
-    ordered = join_small(narrow, planned, "mix_leaf", rows=len(plan)).withColumn("u", order(F.col("whole"), F.col("rid"))).withColumn("slice", slice_of)
+    ordered = join_small(narrow, planned, "mix_leaf", rows=len(plan)).withColumn("u", order(F.col("whole"))).withColumn("slice", slice_of)
     per_slice = ordered.filter("rest > 0").groupBy("mix_leaf", "rest", "slice").agg(F.sum("mix_tokens").alias("n"))
     before = per_slice.withColumn("upto", F.sum("n").over(W.partitionBy("mix_leaf").orderBy("slice")))
     border = before.filter("upto > rest").groupBy("mix_leaf").agg(F.min(F.struct("slice", (F.col("upto") - F.col("n")).alias("base"))).alias("b"))
@@ -153,7 +155,7 @@ def mix(
     picked = store(at_border.withColumn("run", run).filter("base + run <= rest").select("rid", F.lit(1).alias("picked")), "picked")
 
     plan_all = store(planned.join(border, "mix_leaf", "left"), "plan")
-    full = join_small(rows, plan_all, "mix_leaf", rows=len(plan)).withColumn("u", order(F.col("whole"), F.col("rid"))).withColumn("slice", slice_of)
+    full = join_small(rows, plan_all, "mix_leaf", rows=len(plan)).withColumn("u", order(F.col("whole"))).withColumn("slice", slice_of)
     full = join_small(full, picked, "rid", "left")
     more = (F.col("rest") > 0) & (F.coalesce(F.col("slice") < F.col("border"), F.lit(False)) | F.col("picked").isNotNull())
     times = F.col("whole") + F.when(more, 1).otherwise(0)

@@ -4,17 +4,15 @@ are tested against brute-force versions in ``tests/llm``."""
 
 OP4_MINHASH = r"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, list_filter(
-    string_split_regex(
-      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-      '[\x20\x09-\x0D]+'),
-    x -> x <> '') AS w
+  SELECT doc_id, [x FOR x IN string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+') IF x <> ''] AS w
   FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE
     WHEN len(w) = 0 THEN []::VARCHAR[]
     WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), i -> w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+    ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g
   FROM d),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort_features.llm.batches import map_rows
-from cohort_features.llm.common import bounded_sample, store, text_or_empty
+from cohort_features.llm.common import bounded_sample, numbered, store, text_or_empty
 from cohort_features.llm.words import mix
 
 ROWS, DIM, NONZERO, WINDOW, VECTORS = 1 << 14, 32, 4, 2, 1 << 12
@@ -269,7 +269,7 @@ def held_out(doc_id: Column, fold: int = FOLD, held: int = HELD) -> Column:
 
 def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """One row per document: rid, doc_id, held_out, score, predicted."""
-    text = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_or_empty().alias("text"))
+    text = numbered(docs, "doc_id", text_or_empty().alias("text"))
     vectors = word_vectors(text)
 
     def features(rows):
