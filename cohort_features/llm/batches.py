@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,7 +27,7 @@ def batched(rows: Rows, schema: pa.Schema, most_rows: int = 2048, most_bytes: in
     size = 0
     for row in rows:
         held.append(row)
-        size += sum(len(x) for x in row if isinstance(x, (str, bytes, list)))
+        size += sum(len(x) for x in row if isinstance(x, (str, bytes, list, np.ndarray)))
         if len(held) >= most_rows or size >= most_bytes:
             yield _batch(held, schema)
             held, size = [], 0

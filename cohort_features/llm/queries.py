@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_features.llm import exact, language, lines, minhash, mixing, packing, pii, quality, sketch, substring
+from cohort_features.llm import bpe, exact, language, lines, minhash, mixing, packing, pii, quality, sketch, substring
 from cohort_features.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(documents(spark, sf_dir))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the bytes that they decode to, as digests."""
+    out = bpe.round_trip(documents(spark, sf_dir))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", "n_tokens", F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_packing": op2_packing,
@@ -79,4 +86,5 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_language": op9_language,
     "op10_pii": op10_pii,
+    "op11_bpe": op11_bpe,
 }
