@@ -40,7 +40,30 @@ FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+OP12_NEGATIVES = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+         CAST(list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)]) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id AS negative_id, positive_score, score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  WHERE 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT * FROM n WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
     "op4_minhash": OP4_MINHASH,
     "op6_exact": OP6_EXACT,
+    "op12_negatives": OP12_NEGATIVES,
 }

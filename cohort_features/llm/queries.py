@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_features.llm import bpe, exact, language, lines, minhash, mixing, packing, pii, quality, sketch, substring
+from cohort_features.llm import bpe, exact, language, lines, minhash, mixing, negatives, packing, pii, quality, sketch, substring
 from cohort_features.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,15 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", F.sha2(ids.cast("binary"), 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives of each of the five positives of every hundredth
+    vector; a seventh of the rows has the next label."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.col("label").cast("long")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_packing": op2_packing,
@@ -87,4 +96,5 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_pii": op10_pii,
     "op11_bpe": op11_bpe,
+    "op12_negatives": op12_negatives,
 }
