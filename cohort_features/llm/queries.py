@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohort_features.llm import bpe, exact, language, lines, minhash, mixing, negatives, packing, pii, quality, sketch, substring
+from cohort_features.llm import bpe, exact, language, lines, minhash, mixing, negatives, packing, pii, quality, repair, sketch, substring
 from cohort_features.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,21 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0, label=label)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults, the cheapest edits that repair
+    them, and a digest of the repaired turns."""
+    conversations = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    segs = repair.segments(repair.damaged(conversations))
+    plan = repair.plans(segs)
+    said = repair.reports(segs, plan)
+    sums = repair.digests(repair.repaired(segs, plan)).withColumnRenamed("conv_id", "_id")
+    every = conversations.select(F.col("conv_id").alias("_conv")).distinct()
+    out = every.join(said, F.col("_conv").eqNullSafe(F.col("conv_id")), "left").join(sums, F.col("_conv").eqNullSafe(F.col("_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    digest = F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256")
+    return out.select(F.col("_conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"), digest)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring": op1_substring,
     "op2_packing": op2_packing,
@@ -97,4 +112,5 @@ QUERIES: dict[str, Query] = {
     "op10_pii": op10_pii,
     "op11_bpe": op11_bpe,
     "op12_negatives": op12_negatives,
+    "op13_repair": op13_repair,
 }

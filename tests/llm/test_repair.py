@@ -1,0 +1,173 @@
+"""Conversation repair against plain cheapest paths over whole conversations."""
+
+from __future__ import annotations
+
+import hashlib
+import heapq
+import random
+import re
+import tempfile
+import zlib
+
+import pytest
+
+from cohort_features.llm import queries, repair
+
+SCHEMA = "conv_id long, turn long, role string, text string, seg long, rid long, begin int, key string"
+CLASH = (1, 2, 3, "k")
+WHITE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+def stored(spark, rows, files=3):
+    path = tempfile.mkdtemp(prefix="llm-talk-") + "/conversations.parquet"
+    spark.createDataFrame([(*r, *CLASH) for r in rows], SCHEMA).coalesce(files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def cheapest(kinds):
+    """Dijkstra over (cost, audit) of whole strings; ``kinds``: (initial,
+    must go, truncated)."""
+    heap, done = [(0, "", 0, "", ())], set()
+    while heap:
+        cost, audit, i, seen, out = heapq.heappop(heap)
+        if (i, seen) in done:
+            continue
+        done.add((i, seen))
+        if i == len(kinds) and seen in ("", "a"):
+            return cost, audit, out
+        due = "a" if seen == "u" else "u"
+        heapq.heappush(heap, (cost + 2, audit + "I", i, due, (*out, (None, due))))
+        if i < len(kinds):
+            initial, gone, cut = kinds[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, seen, out))
+            if not gone:
+                if initial == due or initial == "s" and not seen:
+                    heapq.heappush(heap, (cost + cut, audit + "K", i + 1, initial, (*out, (i, None))))
+                heapq.heappush(heap, (cost + 2 + cut, audit + "R", i + 1, due, (*out, (i, due))))
+    raise AssertionError
+
+
+def plain(rows):
+    """The contract, row by row."""
+    ids = {r[0] for r in rows}
+    hurt = []
+    for k, (conv, turn, role, text) in enumerate(rows):
+        role, text = " " if role is None else role, " " if text is None else text
+        how = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if how == 0:
+            continue
+        if how == 1:
+            text = ""
+        if how == 2:
+            text = re.sub("[.!?]", "", text)
+        if how == 4:
+            role = "user"
+        hurt += [(conv, turn is not None, turn or 0, k, turn, role, text)] * (2 if how == 3 else 1)
+    out = {}
+    for conv in ids:
+        mine = sorted((x for x in hurt if x[0] == conv), key=lambda x: x[1:4])
+        seen, kinds, faults = set(), [], []
+        for *_, role, text in mine:
+            shown = text.strip(WHITE)
+            fault = "blank" if not shown else "duplicate" if (role, text) in seen else "truncated" if shown[-1] not in ".!?" else ""
+            seen.add((role, text))
+            faults.append(fault)
+            kinds.append((role[:1], fault in ("blank", "duplicate"), int(fault == "truncated")))
+        turns = [x[4] for x in mine if x[4] is not None]
+        illegal = sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(kinds, kinds[1:], strict=False))
+        cost, audit, path = cheapest(kinds)
+        names = {"u": "user", "a": "assistant"}
+        lines = [f"{names[due] if due else mine[i][5]}:{'' if i is None else mine[i][6]}" for i, due in path]
+        out[conv] = (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *(faults.count(x) for x in ("blank", "duplicate", "truncated")), illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
+
+
+def talk(rng, conv, n):
+    rows, roles = [], ["system"] * rng.randrange(2) + ["user", "assistant"] * n
+    for turn, role in enumerate(roles[:n]):
+        text = rng.choice(["Yes.", "No!", "so it goes", "Why? ", "", " \n", "A b c.", f"text {rng.randrange(9)}."])
+        role = rng.choice([role, role, role, role, "user", "system", "tool", "", None])
+        rows.append((conv, rng.choice([turn, turn, turn, turn + 1, None]) if rng.random() < 0.3 else turn, role, rng.choice([text, text, text, None])))
+    return rows
+
+
+def test_the_search_finds_the_cheapest_and_least():
+    rng = random.Random(1)
+    for _ in range(1500):
+        kinds = [(rng.choice("suuaaux"), rng.random() < 0.15, int(rng.random() < 0.2)) for _ in range(rng.randrange(12))]
+        codes = bytes({"s": 0, "u": 1, "a": 2}.get(i, 3) | (repair.FORCED if g else repair.CUT if c else 0) for i, g, c in kinds)
+        kinds = [(i, g, c if not g else 0) for i, g, c in kinds]
+        cost, audit, _ = cheapest(kinds)
+        assert repair.search(codes)[::2] == (audit, cost)
+        # the estimate never exceeds the cost, and segments searched alone give the same
+        assert min(repair.estimates(codes, repair.GOAL)[0]) - repair.REROLE <= cost
+        cuts = sorted(rng.sample(range(1, len(codes)), min(len(codes) - 1, rng.randrange(4)))) if len(codes) > 1 else []
+        parts = [codes[a:b] for a, b in zip([0, *cuts], [*cuts, len(codes)], strict=True)]
+        after = [None]
+        for part in reversed(parts[1:]):
+            matrix = repair.costs(part)
+            after.append(repair.through(matrix, after[-1] or repair.GOAL))
+        assert not codes or repair.through(repair.costs(parts[0]), after[-1] or repair.GOAL)[0] == cost
+        state, said, paid = 0, "", 0
+        for part, left in zip(parts, reversed(after), strict=True):
+            piece, state, c = repair.search(part, state, left)
+            said, paid = said + piece, paid + c
+        assert (said, paid) == (audit, cost)
+
+
+def rows_of(df):
+    return {r["conv_id"]: tuple(r)[1:] for r in df.collect()}
+
+
+@pytest.mark.parametrize("most_rows", [1024, 4])
+def test_query_is_the_contract(spark, monkeypatch, most_rows):
+    rng = random.Random(3)
+    rows = [r for c in range(60) for r in talk(rng, c, rng.randrange(1, 14))]
+    rows += talk(rng, None, 9) + talk(rng, None, 5) + talk(rng, -7, 150)
+    rows += [(900, None, "user", "Hi."), (900, None, None, None), (901, 0, "s", "."), (902, 10**12, "user", "x." * 50_000)]
+    rows += [next((c, 0, "user", "Gone.") for c in range(1000, 2000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)]
+    rng.shuffle(rows)
+    table = stored(spark, rows)
+    read = [tuple(r)[:4] for r in table.collect()]
+    monkeypatch.setattr(repair.segments, "__defaults__", (most_rows, repair.SEGMENT_CHARS))
+    monkeypatch.setattr(type(spark), "read", property(lambda s: type("R", (), {"parquet": staticmethod(lambda p, r=real(spark): table if "conversations" in p else r.parquet(p)), "schema": staticmethod(lambda x, r=real(spark): r.schema(x))})()))
+    got = rows_of(queries.op13_repair(spark, "x"))
+    assert got == plain(read) and len(got) == 66
+
+
+def real(spark):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    return DataFrameReader(spark)
+
+
+def test_turns_after_repair(spark):
+    rng = random.Random(8)
+    table = stored(spark, [r for c in range(30) for r in talk(rng, c, rng.randrange(1, 10))])
+    segs = repair.segments(table)
+    plan = repair.plans(segs)
+    turns = sorted((tuple(r) for r in repair.repaired(segs, plan).collect()), key=lambda r: r[:3])
+    by = {}
+    for conv, _, _, _, _, role, _ in turns:
+        by[conv] = by.get(conv, "") + role[0]
+    assert by and all(re.fullmatch("(s?(ua)+)?", x) for x in by.values())
+    assert {r["conv_id"] for r in repair.reports(segs, plan).collect()} == set(range(30))
+
+
+def test_empty_table(spark):
+    segs = repair.segments(stored(spark, [], 1))
+    plan = repair.plans(segs)
+    assert plan.count() == repair.repaired(segs, plan).count() == repair.reports(segs, plan).count() == 0
+
+
+def test_a_long_conversation_is_spread_and_takes_little_time(spark):
+    rng = random.Random(9)
+    rows = [(5, i, rng.choice(["user", "assistant"]), f"Turn {i}.") for i in range(6000)]
+    table = stored(spark, rows, 2)
+    segs = repair.segments(table, most_rows=256)
+    assert segs.count() >= 24 and segs.select("seg").distinct().count() == segs.count()
+    assert len({r["seg"] >> 32 for r in segs.select("seg").collect()}) > 1  # in several tasks
+    plan = repair.plans(segs)
+    (got,) = repair.reports(segs, plan).collect()
+    read = sorted((tuple(r)[:4] for r in table.collect()), key=lambda r: r[1])
+    assert (got["cost"], got["audit"]) == cheapest([(r[2][0], False, 0) for r in read])[:2]
