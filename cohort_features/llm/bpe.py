@@ -15,7 +15,8 @@ ways to cut a token into two tokens, so it is the token of the joined bytes.
 
 Short matches (64 bytes or fewer) are many and go in lockstep: trees of the
 same size lie in one array, and a step merges one pair in each. Longer ones go
-one by one. Ids of matches are kept in a bounded cache of the task. Memory is
+one by one. Ids of matches, and of words of several, are kept in bounded caches of the
+task. Memory is
 that of a batch of texts; a long text is read match by match and only its ids
 are held.
 
@@ -33,9 +34,10 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +46,7 @@ from cohort_features.llm.batches import map_rows
 
 SHORT = 64  # bytes of a match that goes in lockstep
 TOGETHER = 8192  # trees in lockstep
-CACHE = 400_000  # matches whose ids a task keeps
+CACHE = 250_000  # matches, and words, whose ids a task keeps
 HELD_CHARS = 1 << 20  # characters of texts encoded together; longer ones are read match by match
 HELD_MATCHES = 100_000
 NONE = np.int64(1) << 60  # rank of a position without a pair
@@ -62,13 +64,23 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-class Vocabulary:
-    """Tokens, their ids (which are their ranks), and the pairs that form them."""
+class Tokens:
+    """Tokens and their ids, which are their ranks."""
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str):
         with open(ranks_path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bytes_of = {i: t for t, i in self.ranks.items()}
+
+    def decode(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+
+class Vocabulary(Tokens):
+    """Tokens, the pattern, and the pairs that form tokens."""
+
+    def __init__(self, ranks_path: str, pattern: str):
+        super().__init__(ranks_path)
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         ranks = self.ranks
@@ -82,7 +94,8 @@ class Vocabulary:
         order = np.argsort(keys)
         self.pair_keys = np.append(keys[order], np.iinfo(np.int64).max)
         self.pair_ranks = np.append(np.array(list(self.pairs.values()), dtype=np.int64)[order], NONE)
-        self.cache: dict[str, bytes] = {}
+        self.matches: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     # --- one long match ------------------------------------------------------
 
@@ -194,61 +207,77 @@ class Vocabulary:
     # --- texts ---------------------------------------------------------------
 
     def learn(self, matches: Iterable[str]) -> None:
-        """Ids of matches into the cache."""
+        """Ids of matches into the cache of matches."""
         short: dict[int, list[tuple[str, bytes]]] = {}
         for m in matches:
             data = m.encode("utf-8", "surrogatepass")
             whole = self.ranks.get(data)
             if whole is not None:
-                self.cache[m] = np.array([whole], dtype="<u4").tobytes()
+                self.matches[m] = np.array([whole], dtype="<u4").tobytes()
             elif len(data) <= SHORT:
                 short.setdefault(max(1, len(data) - 1).bit_length(), []).append((m, data))
             else:
-                self.cache[m] = np.array(self.merged(data), dtype="<u4").tobytes()
+                self.matches[m] = np.array(self.merged(data), dtype="<u4").tobytes()
         for held in short.values():
             for i in range(0, len(held), TOGETHER):
                 part = held[i : i + TOGETHER]
-                self.cache.update(zip((m for m, _ in part), self.merged_together([d for _, d in part]), strict=True))
-
-    def _ids(self, matches: list[str], known: set[str]) -> bytes:
-        new = known.difference(self.cache)
-        if len(self.cache) + len(new) > CACHE:
-            self.cache.clear()
+                self.matches.update(zip((m for m, _ in part), self.merged_together([d for _, d in part]), strict=True))
+
+    def _ids(self, parts: list[list[str]]) -> list[bytes]:
+        """Ids of many lists of matches."""
+        known = set(itertools.chain.from_iterable(parts))
+        new = known.difference(self.matches)
+        if len(self.matches) + len(new) > CACHE:
+            self.matches.clear()
             new = known
         self.learn(new)
-        return b"".join(map(self.cache.__getitem__, matches))
+        of = self.matches.__getitem__
+        return [b"".join(map(of, p)) for p in parts]
+
+    def _words(self, words: set[str]) -> None:
+        """Ids of a space and a word each into the cache of words."""
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > CACHE:
+            self.words.clear()
+            new = words
+        listed = list(new)
+        for i in range(0, len(listed), HELD_MATCHES):
+            some = listed[i : i + HELD_MATCHES]
+            self.words.update(zip(some, self._ids([self.pattern.findall(" " + w) for w in some]), strict=True))
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of whole texts (uint32)."""
-        out, held = [], []
-
-        def given() -> Iterator[np.ndarray]:
-            known = set(itertools.chain.from_iterable(held))
-            self._ids([], known)  # all new matches at once
-            for matches in held:
-                yield np.frombuffer(self._ids(matches, set(matches)) if len(known) > CACHE else b"".join(map(self.cache.__getitem__, matches)), "<u4")
-
-        size = 0
-        for text in texts:
-            if len(text) <= HELD_CHARS:
-                held.append(self.pattern.findall(text))
-                size += len(text)
-            if size > HELD_CHARS or len(text) > HELD_CHARS:
-                out += given()
-                held, size = [], 0
+        """Ids of whole texts (uint32). No match spans a space that stands
+        before another character than a space, so texts without runs of spaces
+        are split there first and each word's matches are looked for once."""
+        out: list[bytes | None] = [None] * len(texts)
+        words, plain, odd = set(), [], []
+        for k, text in enumerate(texts):
             if len(text) > HELD_CHARS:
-                found, parts = (m.group() for m in self.pattern.finditer(text)), []
-                while part := list(itertools.islice(found, HELD_MATCHES)):
-                    parts.append(self._ids(part, set(part)))
-                out.append(np.frombuffer(b"".join(parts), "<u4"))
-        out += given()
-        return out
+                found = (m.group() for m in self.pattern.finditer(text))
+                parts = iter(lambda f=found: list(itertools.islice(f, HELD_MATCHES)), [])
+                out[k] = b"".join(self._ids([p])[0] for p in parts)
+            elif "  " in text:
+                odd.append((k, self.pattern.findall(text)))
+            else:
+                first, *rest = text.split(" ")
+                plain.append((k, rest))
+                odd.append((k, self.pattern.findall(first)))
+                words.update(rest)
+        for (k, _), ids in zip(odd, self._ids([m for _, m in odd]), strict=True):
+            out[k] = ids
+        self._words(words)
+        of = self.words.__getitem__
+        for k, rest in plain:
+            out[k] += b"".join(map(of, rest))
+        return [np.frombuffer(x, "<u4") for x in out]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0].tolist()
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+
+@functools.lru_cache(maxsize=2)
+def tokens(ranks_path: str) -> Tokens:
+    return Tokens(ranks_path)
 
 
 @functools.lru_cache(maxsize=2)
@@ -273,25 +302,33 @@ def encode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None =
                     ids = vocab.encode_many([t or "" for _, t in part])
                     yield from ((doc_id, x.view("<i4")) for (doc_id, _), x in zip(part, ids, strict=True))
                     part, size = [], 0
-        vocab.cache.clear()  # workers live on
+        vocab.matches.clear()  # workers live on
+        vocab.words.clear()
 
     return map_rows(docs.select("doc_id", "text"), run, "doc_id long, ids array<int>")
 
 
-def decode(encoded: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str | None = None) -> DataFrame:
     """(doc_id, ids) to (doc_id, ids, data): the bytes that the ids stand for,
     which may be no UTF-8 if ids were cut off."""
-    path, split = ranks_path or default_ranks(), pattern or default_pattern()
+    path = ranks_path or default_ranks()
 
-    def run(it):
-        vocab = vocabulary(path, split)
-        for doc_id, ids in it:
-            yield doc_id, ids, vocab.decode(ids)
+    def run(batches):
+        vocab = tokens(path)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                ids = part.column(1)
+                flat = ids.flatten().to_numpy().tolist()
+                ends = (np.asarray(ids.offsets) - ids.offsets[0].as_py()).tolist()
+                data = [vocab.decode(flat[a:b]) for a, b in itertools.pairwise(ends)]
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(data, pa.binary())], names=["doc_id", "ids", "data"])
 
-    return map_rows(encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids")), run, "doc_id long, ids array<int>, data binary")
+    held = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    return held.mapInArrow(run, "doc_id long, ids array<int>, data binary")
 
 
 def round_trip(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids, data (the decoded bytes)."""
-    out = decode(encode(docs, ranks_path, pattern), ranks_path, pattern)
+    out = decode(encode(docs, ranks_path, pattern), ranks_path)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "data")
