@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -55,6 +56,14 @@ def drop(*tables: DataFrame) -> None:
             remove(t.sparkSession, path)
 
 
+def free_shuffles(df: DataFrame) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any
+    more: it does so when the driver's JVM collects its garbage, which a driver
+    with little to do may not do for half an hour."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 FILE_BITS = 40  # bits of a row number that number the row in its file
 MOST_FILES = 400_000  # files whose numbers may be broadcast
 

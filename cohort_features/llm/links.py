@@ -62,11 +62,14 @@ def _find(parent: dict, x: int) -> int:
 
 
 def _tested(rows: DataFrame, payload: DataFrame, matcher: Matcher) -> DataFrame:
-    """``rows``: batch, salt, role (0 seeker, 1 member), band, id, comp."""
+    """``rows``: batch, salt, role (0 seeker, 1 member), band, id, comp. The
+    tests are CPU work, so there are as many tasks as the session's shuffles
+    have, however few the bytes."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ready = (
         rows.join(payload, "id")
         .select("batch", "salt", "role", "id", "comp", "band", "payload")
-        .repartition("batch", "salt")
+        .repartition(parts, "batch", "salt")
         .sortWithinPartitions("batch", "salt", "role", "id")
     )
 

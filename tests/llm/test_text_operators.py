@@ -12,26 +12,40 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from cohort_features.llm import lines, packing, sketch, substring
+from cohort_features.llm import lines, packing, sketch, substring, whole_lines
 from tests.llm import brute
-from tests.llm.conftest import stored, words
+from tests.llm.conftest import edited, stored, words
 
 # --- lines ---------------------------------------------------------------------
 
 
+def plain_simhashes(words, seeds):
+    h = lines.line_words(" ".join(words))[0]
+    out = []
+    for s in range(seeds):
+        g = [int(x) for x in lines.mix(h + np.uint64((s + 1) * int(lines.STEP) & (2**64 - 1)))]
+        ones = [2 * sum(x >> b & 1 for x in g) for b in range(64)]
+        out.append(sum(1 << b for b in range(64) if ones[b] > len(g) or ones[b] == len(g) and g[0] >> b & 1))
+    return out
+
+
 def plain_line_groups(rows):
-    """(doc_id, line) -> first (doc_id, line) of its group, for grouped lines."""
+    """(doc_id, line) -> first (doc_id, line) of its group, for grouped lines:
+    all pairs that agree in a block, have near signs, and are similar."""
     at = defaultdict(list)
     for i, text in rows:
         for no, w in enumerate(lines.normalised(text)):
             if len(w) >= lines.MIN_WORDS:
                 at[tuple(w)].append((i, no))
     keys = list(at)
-    sims = [np.uint64(np.int64(lines.simhash(list(k))).view(np.uint64)) for k in keys]
+    seeds, blocks, bits = lines.tables(len(keys))
+    sims = [plain_simhashes(k, seeds + 1) for k in keys]
     u = brute.Union()
     for a in range(len(keys)):
         for b in range(a):
-            if int(np.bitwise_count(sims[a] ^ sims[b])) <= lines.DISTANCE:
+            differ = [x ^ y for x, y in zip(sims[a], sims[b], strict=True)]
+            meet = any((x >> k * bits) % 2**bits == 0 for x in differ[:seeds] for k in range(blocks))
+            if meet and differ[seeds].bit_count() <= lines.SIGN_BITS and sum(x.bit_count() for x in differ[:seeds]) <= lines.SHARE * 64 * seeds:
                 longer = max(len(keys[a]), len(keys[b]))
                 if 1 - brute.edit_distance(keys[a], keys[b]) / longer >= lines.SIMILARITY - 1e-9:
                     u.join(a, b)
@@ -41,6 +55,48 @@ def plain_line_groups(rows):
     return {x: min(g) for g in groups.values() if len(g) > 1 for x in g}
 
 
+def test_words_of_lines_are_the_patterns(monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK_CHARS", 64)
+    lines._powers.cache_clear()
+    rng = random.Random(1)
+    signs = ["ab", "B", "É", "1", "²", "٣", "_", "\n", " ", "-", "漢", "\U0001f600", "İ", "x9y", "\u0301", "\r"]
+    seen: dict = {}
+    for _ in range(1500):
+        t = "".join(rng.choice(signs) for _ in range(rng.randrange(90)))
+        h, no = lines.line_words(t)
+        want = [(k, w) for k, ws in enumerate(lines.normalised(t)) for w in ws]
+        assert no.tolist() == [k for k, _ in want]
+        assert all(seen.setdefault(w, x) == x for (_, w), x in zip(want, h.tolist(), strict=True))
+    lines._powers.cache_clear()
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_most_similar_lines_meet(spark):
+    """Recall and precision against every pair of edit similarity 0.8."""
+    from cohort_features.llm.common import documents
+
+    docs = documents(spark, "/root/testdata/sf0.01")
+
+    def groups(df):
+        return {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in df.collect()}
+
+    got, want = groups(lines.duplicate_lines(docs)), groups(whole_lines.all_duplicate_lines(docs))
+    assert set(got) <= set(want)
+    assert sum(got.get(k) == v for k, v in want.items()) >= 0.97 * len(want)
+    # of the lines without an equal one, which only near copies bring in
+    texts = {r["doc_id"]: lines.normalised(r["text"]) for r in docs.select("doc_id", "text").collect()}
+    count = Counter(tuple(w) for ws in texts.values() for w in ws)
+    near = [k for k in want if count[tuple(texts[k[0]][k[1]])] == 1]
+    assert len(near) > 100 and sum(k in got for k in near) >= 0.9 * len(near)
+
+
+def test_tables_grow_with_the_lines():
+    for n in (0, 1, 7_000, 10**6, 2_200_000, 10**8, 10**10, 10**13):
+        seeds, blocks, bits = lines.tables(n)
+        assert seeds * blocks < lines.BANDS and blocks * bits <= 64 and n < 2 ** (bits + 1)
+        assert 1 - (1 - (1 - lines.DIFFER) ** bits) ** (seeds * blocks) >= lines.MEET
+
+
 def test_line_groups_match_brute_force(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     want = plain_line_groups(rows)
@@ -54,16 +110,31 @@ def test_line_groups_match_brute_force(docs):
         assert kept.get(i, "") == ("\n".join(left) if any(x.strip() for x in left) else "")
 
 
-@pytest.mark.parametrize("n", [10, 4_000_000, 10**9, 10**12])
-def test_tables_find_every_pair_within_the_distance(n):
-    masks = [m & (2**64 - 1) for m in lines.tables(n)]
-    rng = random.Random(n)
-    for _ in range(300):
-        flips = 0
-        for b in rng.sample(range(64), lines.DISTANCE):
-            flips |= 1 << b
-        assert any(flips & m == 0 for m in masks)
-    assert min(bin(m).count("1") for m in masks) >= min(48, np.log2(n + 1) + 3) - 1
+@pytest.mark.parametrize("screened", [256, 3])
+def test_buckets_of_any_size(spark, monkeypatch, screened):
+    """Hot keys, large buckets, and buckets over the edges of batches."""
+    monkeypatch.setattr(lines, "SCREENED", screened)
+    monkeypatch.setattr(lines, "HOT_ROWS", 5)
+    monkeypatch.setattr(lines, "SAMPLED", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    rng = random.Random(12)
+    texts = []
+    for _ in range(12):
+        base = words(rng, 30)
+        texts += [base, *(reworded(rng, base, rng.randrange(1, 4)) for _ in range(12))]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)]
+    got = lines.duplicate_lines(stored(spark, rows))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in got.collect()}
+    assert found == plain_line_groups([r[:2] for r in rows]) and len(found) > 100
+
+
+def test_a_pair_of_long_lines(spark):
+    rng = random.Random(13)
+    base = words(rng, 20_000, 10**6)
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate([base, edited(rng, base, 900), edited(rng, base, 1500), edited(rng, base, 9000)])]
+    got = lines.duplicate_lines(stored(spark, rows)).collect()
+    assert {r["doc_id"] for r in got} == {0, 1, 2}
 
 
 def test_edit_distance_bound():
@@ -119,9 +190,7 @@ def reworded(rng, w, changes):
 
 @pytest.mark.parametrize("screened", [256, 3])
 def test_every_line_of_edit_similarity_is_found(spark, monkeypatch, screened):
-    from cohort_features.llm import queries
-
-    monkeypatch.setattr(lines, "SCREENED", screened)
+    monkeypatch.setattr(whole_lines, "SCREENED", screened)
     rng = random.Random(31)
     texts = []
     for _ in range(90):
@@ -130,29 +199,28 @@ def test_every_line_of_edit_similarity_is_found(spark, monkeypatch, screened):
     rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)]
     table = stored(spark, rows)
     want = plain_similar_groups([r[:2] for r in rows])
-    monkeypatch.setattr(queries, "documents", lambda *_: table)
-    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in queries.op3_lines(spark, "").collect()}
-    assert got == want and len(want) > len(plain_line_groups([r[:2] for r in rows])) > 0
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in whole_lines.all_duplicate_lines(table).collect()}
+    assert got == want and len(want) > 20
 
 
 def test_prefixes_of_similar_lines_meet():
     rng = random.Random(32)
-    levels = np.zeros(lines.BINS, dtype=np.uint8)
+    levels = np.zeros(whole_lines.BINS, dtype=np.uint8)
     for _ in range(1500):
         a = words(rng, rng.randrange(4, 60), 30)
         b = reworded(rng, a, rng.randrange(1, 14))
         if a != b and lines.similar(a, b):
-            h, starts, sizes = lines._flat([a, b])
-            keys, line = lines.prefix_keys(h, sizes, levels, lines.SIMILARITY)
+            h, starts, sizes = whole_lines._flat([a, b])
+            keys, line = whole_lines.prefix_keys(h, sizes, levels, lines.SIMILARITY)
             assert set(keys[line == 0].tolist()) & set(keys[line == 1].tolist())
-            sign = lines.signs(h, starts, sizes)
-            assert lines._may_link(sign[0], sign[1], lines.SIMILARITY)
+            sign = whole_lines.signs(h, starts, sizes)
+            assert whole_lines._may_link(sign[0], sign[1], lines.SIMILARITY)
 
 
 def test_whole_lines_of_edge_rows(edge, empty):
-    plain, whole = (lines.duplicate_lines(edge, whole=w).collect() for w in (False, True))
+    plain, whole = (f(edge).collect() for f in (lines.duplicate_lines, whole_lines.all_duplicate_lines))
     assert Counter(plain) == Counter(whole)
-    assert lines.duplicate_lines(empty, whole=True).count() == 0
+    assert whole_lines.all_duplicate_lines(empty).count() == 0
 
 
 def test_short_lines_are_grouped_and_removed(spark):
