@@ -20,7 +20,7 @@ from tests.llm.conftest import edited, stored, words
 
 
 def plain_simhashes(words, seeds):
-    h = lines.line_words(" ".join(words))[0]
+    h = lines.line_words(" ".join(dict.fromkeys(words)))[0]
     out = []
     for s in range(seeds):
         g = [int(x) for x in lines.mix(h + np.uint64((s + 1) * int(lines.STEP) & (2**64 - 1)))]
@@ -39,13 +39,13 @@ def plain_line_groups(rows):
                 at[tuple(w)].append((i, no))
     keys = list(at)
     seeds, blocks, bits = lines.tables(len(keys))
-    sims = [plain_simhashes(k, seeds + 1) for k in keys]
+    sims = [plain_simhashes(k, seeds + 2) for k in keys]
     u = brute.Union()
     for a in range(len(keys)):
         for b in range(a):
             differ = [x ^ y for x, y in zip(sims[a], sims[b], strict=True)]
             meet = any((x >> k * bits) % 2**bits == 0 for x in differ[:seeds] for k in range(blocks))
-            if meet and differ[seeds].bit_count() <= lines.SIGN_BITS and sum(x.bit_count() for x in differ[:seeds]) <= lines.SHARE * 64 * seeds:
+            if meet and sum(x.bit_count() for x in differ[seeds:]) <= lines.SIGN_BITS and sum(x.bit_count() for x in differ[:seeds]) <= lines.SHARE * 64 * seeds:
                 longer = max(len(keys[a]), len(keys[b]))
                 if 1 - brute.edit_distance(keys[a], keys[b]) / longer >= lines.SIMILARITY - 1e-9:
                     u.join(a, b)
@@ -233,7 +233,7 @@ def test_short_lines_are_grouped_and_removed(spark):
         got = queries.op3_lines(spark, "").collect()
     found = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in got}
     assert found == {(i, no): (i % 2 if no == 4 else 0, no) for i in range(6) for no in (0, 3, 4)}
-    left = {r["doc_id"]: r["text"].split("\n") for r in lines.cleaned(table, lines.duplicate_lines(table, whole=True)).collect()}
+    left = {r["doc_id"]: r["text"].split("\n") for r in lines.cleaned(table, lines.duplicate_lines(table)).collect()}
     assert [len(left[i]) for i in range(6)] == [5, 3, 2, 2, 2, 2]
 
 
