@@ -15,6 +15,7 @@ import gc
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,7 +98,7 @@ def numbered(docs: DataFrame, *keep: str | Column) -> DataFrame:
         return numbered(docs, *keep)
     if len(names) < 2:
         return here.select(place["row_index"].alias("rid"), *keep)
-    ranks = docs.sparkSession.createDataFrame(list(enumerate(names)), "_rank long, _file string")
+    ranks = docs.sparkSession.createDataFrame(pa.table({"_rank": range(len(names)), "_file": names}))
     placed = here.select(place["file_path"].alias("_file"), place["row_index"].alias("_row"), *keep).join(F.broadcast(ranks), "_file")
     rid = F.shiftleft("_rank", FILE_BITS).bitwiseOR(F.col("_row")).alias("rid")
     return placed.select(rid, *[F.col(c) for c in placed.columns if c not in ("_file", "_row", "_rank")])

@@ -37,7 +37,9 @@ SMOOTH = 0.5
 ROUNDS = 25
 OVERLAP = 3.0  # neighbouring trigrams share letters, so each counts a third
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
+#: word characters that are neither letters nor decimal digits: fractions, circled numbers and the like
+NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
 
 
 def trigrams(text: str | None) -> np.ndarray:

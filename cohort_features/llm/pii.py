@@ -101,7 +101,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by the base rules, by kind, then start."""
     out = [(0, a, b) for a, b in emails(text)]
     if DIGIT.search(text):
-        out += [(1, *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+        out += [(1, *m.span()) for m in IP.finditer(text) if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split("."))]
         out += [(2, *m.span()) for m in CARD.finditer(text) if 13 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
         out += [(3, *m.span()) for m in PHONE.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
     return out
@@ -192,8 +192,8 @@ def train(rows: list[tuple[list[int], float]], epochs: int = 8, seed: int = 10)
 
 
 def find_pii(docs: DataFrame, train_spans: int = TRAIN_SPANS, least: float = LEAST) -> DataFrame:
-    """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base and
-    added spans), base_sha256, spans, and n_added."""
+    """One row per document: doc_id, n_email, n_ip, n_card, n_phone (base
+    spans), base_sha256, spans (base and added), and n_added (of all kinds)."""
 
     def search(rows):
         for doc_id, text in rows:

@@ -27,6 +27,8 @@ without labels); other columns are not read.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,9 +90,11 @@ def _block_hashes(c: np.ndarray) -> np.ndarray:
     x = c.astype(np.uint64) + np.uint64(1)
     x *= np.uint64(0xFF51AFD7ED558CCD)
     x ^= x >> np.uint64(29)
+    long = len(c) > BLOCK_CHARS
+    power, inverse = (_powers(_BASE, len(c)), _powers(pow(_BASE, -1, 1 << 64), len(c))) if long else (_POWERS, _INVERSE)
     sums = np.zeros(len(c) + 1, dtype=np.uint64)
-    np.cumsum(x * _POWERS[: len(c)], out=sums[1:])
-    h = mix((sums[end] - sums[start]) * _INVERSE[start] ^ (end - start).astype(np.uint64))
+    np.cumsum(x * power[: len(c)], out=sums[1:])
+    h = mix((sums[end] - sums[start]) * inverse[start] ^ (end - start).astype(np.uint64))
     uppers = np.zeros(len(c) + 1, dtype=np.int32)
     np.cumsum(UPPER[at], out=uppers[1:])
     n, up, first = end - start, uppers[end] - uppers[start], UPPER[at[start]]
@@ -102,10 +106,19 @@ def _block_hashes(c: np.ndarray) -> np.ndarray:
 def token_hashes(text: str | None) -> np.ndarray:
     """64-bit hashes of the text's tokens in order (a polynomial over the
     characters, from prefix sums), each with its shape's number in the lowest
-    3 bits. Long texts go in blocks, which may cut a token in two."""
+    3 bits. Long texts go in blocks that end after white space."""
     c = np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    blocks = [_block_hashes(c[i : i + BLOCK_CHARS]) for i in range(0, len(c), BLOCK_CHARS)]
-    return blocks[0] if len(blocks) == 1 else np.concatenate([np.zeros(0, dtype=np.uint64), *blocks])
+    blocks, i = [np.zeros(0, dtype=np.uint64)], 0
+    while i < len(c):
+        j = min(i + BLOCK_CHARS, len(c))
+        if j < len(c):
+            gaps = np.flatnonzero(KIND[np.minimum(c[i:j], 1 << 16)] == SPACE)
+            if not len(gaps):  # a run without white space longer than a block
+                gaps = np.flatnonzero(KIND[np.minimum(c[i:], 1 << 16)] == SPACE)[:1]
+            j = i + int(gaps[-1]) + 1 if len(gaps) else len(c)
+        blocks.append(_block_hashes(c[i:j]))
+        i = j
+    return blocks[1] if len(blocks) == 2 else np.concatenate(blocks)
 
 
 def _row(h: np.ndarray) -> np.ndarray:
@@ -283,8 +296,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_RO
     net = Network(x, np.array([r["quality"] for r in sample]))
 
     def score(rows):
-        for rid, doc_id, f in rows:
-            yield rid, doc_id, float(net.score(np.frombuffer(f, dtype=np.float32)[None, :].astype(np.float64))[0])
+        for held in iter(lambda: list(itertools.islice(rows, 1024)), []):
+            x = np.frombuffer(b"".join(f for _, _, f in held), dtype=np.float32).reshape(-1, FEATURES)
+            yield from ((rid, doc_id, s) for (rid, doc_id, _), s in zip(held, net.score(x.astype(np.float64)).tolist(), strict=True))
 
     out = map_rows(made, score, "rid long, doc_id long, score double")
     return out.select("rid", "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

@@ -277,6 +277,24 @@ def test_loose_emails_are_looked_for_wherever_they_match():
             assert [t[a:b] for k, a, b in pii.loose_spans(t, []) if k == 0] == [f"john.doe{at}example{dot}com"], t
 
 
+def test_ips_with_thousands_of_digits():
+    for head in ("0" * 5000, "1" * 5000, "0" * 5000 + "7"):
+        assert (1 in {k for k, _, _ in pii.base_spans(f"at {head}.1.2.3 now")}) == (head[-1] != "1")
+
+
+def test_numerals_are_no_letters(spark):
+    rows = [(i, t, lang, "s", 0) for i, (t, lang) in enumerate([("the cat and the dog " * 9, "en"), ("der hund und die katze " * 9, "de"), ("½ ② ² Ⅷ 12 _", None), ("½a", None)])]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(stored(spark, rows)).collect()}
+    assert got[2] == "und" and got[3] != "und"
+
+
+def test_tokens_of_long_texts_are_whole(monkeypatch):
+    text = " ".join(f"word{i} Längere" for i in range(20_000)) + "x" * 9000 + " end"
+    want = quality.token_hashes(text)
+    monkeypatch.setattr(quality, "BLOCK_CHARS", 4096)
+    assert (quality.token_hashes(text) == want).all()
+
+
 # --- pipeline ------------------------------------------------------------------
 
 
