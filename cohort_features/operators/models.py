@@ -8,7 +8,7 @@ that the N fits do not each recompute the feature pipeline.
 
 from __future__ import annotations
 
-import math
+import functools
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, Transformer
@@ -168,23 +168,21 @@ def bake_off(
     test: DataFrame,
     task: str,
     label: str,
+    parallel: int = 3,
 ) -> DataFrame:
     """Fit every estimator on ``train``, score ``test``: rows (model, metric,
     value), and for the model named ``data`` the row count and mean label of
     either side.
 
-    ``train`` and ``test`` are persisted (memory, spilling to disk) for the
-    duration so N fits read them N times without recomputing their lineage.
+    ``train`` and ``test`` should be persisted, as every fit reads them.
+    ``parallel`` fits run at a time, each a series of jobs of its own.
     """
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = [("data", k, v) for k, v in sides(train, test, label).items()]
-        for name, est in estimators.items():
-            rows += fit_and_score(est, train, test, task, label, name)
-    finally:
-        train.unpersist()
-        test.unpersist()
+    from cohort_features.operators.tuning import side_by_side
+
+    rows = [("data", k, v) for k, v in sides(train, test, label).items()]
+    work = [functools.partial(fit_and_score, est, train, test, task, label, name) for name, est in estimators.items()]
+    for found in side_by_side(spark, work, parallel):
+        rows += found
     return spark.createDataFrame(rows, METRIC_SCHEMA)
 
 
@@ -237,47 +235,6 @@ def param_grid_frame(spark: SparkSession, grids: dict[str, dict[str, list]]) ->
     return spark.createDataFrame(rows, "grid string, point int, param string, value double")
 
 
-def cross_validate_rounds(
-    spark: SparkSession,
-    depths: list[int],
-    rounds: list[int],
-    train: DataFrame,
-    test: DataFrame,
-    label: str,
-    folds: int = REFERENCE_FOLDS,
-    fold_key: str = "subject_id",
-    seed: int = 42,
-) -> DataFrame:
-    """k-fold CV of a GBT regressor over depth x rounds, by RMSE.
-
-    Boosting adds one tree after another, so the fit with the most rounds
-    holds every shorter one as a prefix: per fold and depth one model is fitted
-    and its error read off after each of ``rounds`` trees. Same values as
-    fitting every grid point, with 1/len(rounds) of the fits. Rows as
-    ``cross_validate`` gives them, points in the order depth, then rounds.
-    """
-    fold = key_bucket(F.col(fold_key), folds, "fold").cast("int")
-    train = train.withColumn("_fold", fold).persist(StorageLevel.MEMORY_AND_DISK)
-    points = [(d, r) for d in depths for r in rounds]
-    errors: dict[tuple[int, int], list[float]] = {p: [] for p in points}
-    try:
-        for d in depths:
-            for k in range(folds):
-                model = regressor("gbt", label, seed=seed, maxDepth=d, maxIter=max(rounds)).fit(train.filter(F.col("_fold") != k))
-                mse = model.evaluateEachIteration(train.filter(F.col("_fold") == k), "squared")
-                for r in rounds:
-                    errors[d, r].append(math.sqrt(mse[r - 1]))
-        means = {p: sum(e) / len(e) for p, e in errors.items()}
-        depth, n = min(points, key=lambda p: means[p])
-        best = regressor("gbt", label, seed=seed, maxDepth=depth, maxIter=n).fit(train)
-        held_out = evaluate(best.transform(test), "regression", label)
-    finally:
-        train.unpersist()
-    rows = [(f"point{i}", "cv_rmse", float(means[p])) for i, p in enumerate(points)]
-    rows += [("best", k, None if v is None else float(v)) for k, v in held_out.items()]
-    return spark.createDataFrame(rows, METRIC_SCHEMA)
-
-
 def cross_validate(
     spark: SparkSession,
     estimator: Estimator,

@@ -19,6 +19,10 @@ so predicates and column pruning still reach the Parquet scans.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +34,33 @@ TABLES = (
 ).split()
 
 
+_OPEN: ContextVar[dict[str, DataFrame] | None] = ContextVar("open_tables", default=None)
+
+
+def shared(query: Callable) -> Callable:
+    """``query``, opening each table once however many roles read it: a
+    relation costs a file listing and a footer read on the driver. Relations
+    are shared within one call only, so a later one sees new files."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        token = _OPEN.set({})
+        try:
+            return query(spark, sf_dir)
+        finally:
+            _OPEN.reset(token)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table as a lazy relation."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path, opened = f"{sf_dir.rstrip('/')}/{name}.parquet", _OPEN.get()
+    if opened is None:
+        return spark.read.parquet(path)
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
 
 
 def admissions(spark: SparkSession, sf_dir: str) -> DataFrame:

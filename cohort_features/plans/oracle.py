@@ -438,7 +438,77 @@ SELECT 'l_quantity' AS term, round(regr_slope(l_extendedprice, l_quantity) * 100
 FROM lineitem
 """
 
+BAYES_TABLE = """
+WITH s AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS class, count(*) AS n, sum(l_quantity::DOUBLE) AS l_quantity,
+         sum(l_linenumber::DOUBLE) AS l_linenumber, sum(l_discount::DOUBLE) AS l_discount, sum(l_tax::DOUBLE) AS l_tax
+  FROM lineitem GROUP BY 1),
+w AS (
+  SELECT class, ln(n + 1.0) - ln(sum(n) OVER () + count(*) OVER () * 1.0) AS prior,
+         ln(l_quantity + l_linenumber + l_discount + l_tax + 4.0) AS total, l_quantity, l_linenumber, l_discount, l_tax
+  FROM s),
+u AS (
+  SELECT class, '(prior)' AS feature, prior AS p FROM w
+  UNION ALL SELECT class, 'l_quantity', ln(l_quantity + 1.0) - total FROM w
+  UNION ALL SELECT class, 'l_linenumber', ln(l_linenumber + 1.0) - total FROM w
+  UNION ALL SELECT class, 'l_discount', ln(l_discount + 1.0) - total FROM w
+  UNION ALL SELECT class, 'l_tax', ln(l_tax + 1.0) - total FROM w)
+SELECT class, feature, round(p, 6) AS log_probability FROM u
+"""
+FIRST_SPLIT = """
+WITH r AS (
+  SELECT CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y, * FROM lineitem),
+l AS (
+  SELECT y, 'l_linenumber' AS feature, l_linenumber::DOUBLE AS v FROM r
+  UNION ALL SELECT y, 'l_quantity', l_quantity::DOUBLE FROM r
+  UNION ALL SELECT y, 'l_discount', l_discount::DOUBLE FROM r
+  UNION ALL SELECT y, 'l_tax', l_tax::DOUBLE FROM r
+  UNION ALL SELECT y, 'l_extendedprice', l_extendedprice::DOUBLE FROM r),
+c AS (SELECT feature, v, count(*) AS n, sum(y) AS pos FROM l GROUP BY 1, 2),
+w AS (
+  SELECT feature, v, sum(n) OVER up::DOUBLE AS nl, sum(pos) OVER up::DOUBLE AS pl,
+         sum(n) OVER f::DOUBLE AS nt, sum(pos) OVER f::DOUBLE AS pt
+  FROM c WINDOW up AS (PARTITION BY feature ORDER BY v ROWS UNBOUNDED PRECEDING), f AS (PARTITION BY feature)),
+g AS (
+  SELECT *, round((1.0::DOUBLE - (pt / nt) * (pt / nt) - (1.0::DOUBLE - pt / nt) * (1.0::DOUBLE - pt / nt))
+    - nl / nt * (1.0::DOUBLE - (pl / nl) * (pl / nl) - (1.0::DOUBLE - pl / nl) * (1.0::DOUBLE - pl / nl))
+    - (nt - nl) / nt * (1.0::DOUBLE - ((pt - pl) / (nt - nl)) * ((pt - pl) / (nt - nl)) - (1.0::DOUBLE - (pt - pl) / (nt - nl)) * (1.0::DOUBLE - (pt - pl) / (nt - nl))), 9) AS gain
+  FROM w WHERE nl < nt)
+SELECT feature, v AS threshold, nl::BIGINT AS n_left, (nt - nl)::BIGINT AS n_right, gain
+FROM g QUALIFY row_number() OVER (PARTITION BY feature ORDER BY gain DESC, v) = 1
+"""
+ONE_HOT_VOCABULARY = """
+SELECT p_partkey, p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS type_index,
+       (SELECT count(DISTINCT p_type) FROM part) AS size, 1::INTEGER AS hot, 1::INTEGER AS ones
+FROM part WHERE p_type IS NOT NULL
+"""
+SPLIT_EXACT = """
+SELECT CAST(floor(count(*) * 0.7 + 0.5) AS BIGINT) AS n_train, count(*) - CAST(floor(count(*) * 0.7 + 0.5) AS BIGINT) AS n_test,
+       count(DISTINCT event_id) AS n_events, CAST(sum(event_id) AS BIGINT) AS sum_ids, CAST(sum(user_id) AS BIGINT) AS sum_users
+FROM events
+"""
+MERGED_STATE = f"""
+SELECT user_id AS subject_id,
+  {rounded(mean_sql("value", "event_type = 'purchase'"))} AS avg_heart_rate,
+  {rounded(mean_sql("value", "event_type IN ('signup', 'purchase')"))} AS avg_bp,
+  {rounded(mean_sql("value", "event_type = 'error'"))} AS avg_coma_scale,
+  {rounded(mean_sql("value", "event_type IN ('view', 'click')"))} AS avg_temp_c
+FROM events WHERE event_type IN ('purchase', 'signup', 'error', 'view', 'click') GROUP BY user_id
+"""
+CSV_RESCUE = """
+WITH f AS (
+  SELECT 'p_name' AS column, p_name AS text FROM part WHERE p_name IS NOT NULL AND p_name <> '' AND try_cast(p_name AS DOUBLE) IS NULL
+  UNION ALL SELECT 'p_brand', p_brand FROM part WHERE p_brand IS NOT NULL AND p_brand <> '' AND try_cast(p_brand AS BIGINT) IS NULL)
+SELECT "column", count(*) AS n, count(DISTINCT text) AS n_texts, min(text) AS first_text FROM f GROUP BY 1
+"""
+
 ORACLE: dict[str, str] = {
+    "bayes_table": BAYES_TABLE,
+    "first_split": FIRST_SPLIT,
+    "one_hot_vocabulary": ONE_HOT_VOCABULARY,
+    "split_exact": SPLIT_EXACT,
+    "merged_state": MERGED_STATE,
+    "csv_rescue": CSV_RESCUE,
     "stay_features": STAY_FEATURES,
     "subject_features": SUBJECT_FEATURES,
     "measures_chain": SUBJECT_FEATURES,
