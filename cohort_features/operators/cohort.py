@@ -5,12 +5,13 @@ counts, measures) is unique per subject, so those tables are joined to each
 other first on their shared hash partitioning. Admissions meet stays on narrow
 rows (five columns), and the wide subject table is attached last, once.
 
-The last join is where a hot subject (a third of all stays) lands. It runs on
-(subject, salt): a stay's salt comes from its admission, and each subject's
-one row is repeated for the ``SALTS`` salts. The hot subject is thereby dealt
-to several tasks, and as both join inputs are then plain shuffles, AQE can
-split its partitions further. Nothing is written and no job runs while the
-plan is built.
+The last join is where a hot subject (a third of all stays) lands. A sketch of
+the keys (``hotkeys``) finds such subjects; only they are salted, each to as
+many tasks as its stays need, and only their rows of the subject table are
+repeated; both inputs of that join are plain shuffles, so AQE can split further.
+Without hot subjects the stays join the subject table on the partitioning it
+has, without another shuffle of it. Nothing is written; counts and sketches, each
+over one column, are the only jobs that run while the plan is built.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from cohort_features.functions.catalog import CODE_COUNT_COLUMNS
 from cohort_features.functions.expressions import age_years, binary_code, code_group
+from cohort_features.operators.hotkeys import ROWS_PER_TASK, hot_keys, spread_join
 from cohort_features.operators.measures import chapter_counts
 
-SALTS = 4
 STAY_COLUMNS = ("subject_id", "hadm_id", "gender", "los", "age", "expire_flag")
 
 
@@ -77,12 +78,21 @@ def subject_table(
     return subj
 
 
-def salted_join(rows: DataFrame, unique: DataFrame, key: str, spread: str, salts: int = SALTS) -> DataFrame:
-    """Inner join of many rows per ``key`` with a table that has one: the rows
-    of a hot key are dealt to ``salts`` tasks by a hash of ``spread``."""
-    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    right = unique.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, on=[key, "_salt"], how="inner").drop("_salt")
+def hot_subjects(admissions: DataFrame, icu_stays: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> dict:
+    """{subject: stays, about} of the subjects with over ``rows_per_task``
+    stays, from one column of each table and no join: those with many
+    admissions, and those of an admission with many stays."""
+    stays = icu_stays.count()
+    if stays <= rows_per_task:
+        return {}
+    each = stays / max(admissions.count(), 1)  # stays of an admission, on average
+    hot = hot_keys(admissions, "subject_id", rows_per_task, each)
+    full = hot_keys(icu_stays, "hadm_id", rows_per_task)
+    if full:
+        for r in admissions.where(F.col("hadm_id").isin(list(full))).select("subject_id", "hadm_id").collect():
+            if r["subject_id"] is not None:
+                hot[r["subject_id"]] = hot.get(r["subject_id"], 0) + full[r["hadm_id"]]
+    return hot
 
 
 def stay_table(admissions: DataFrame, icu_stays: DataFrame) -> DataFrame:
@@ -103,6 +113,7 @@ def stay_cohort(
     patients: DataFrame,
     diagnoses: DataFrame | None,
     subject_extra: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """One row per ICU stay with age, sex code, outcome, stay length and the
     subject's 20 chapter counts (J1-J3, E5, E6, A4).
@@ -113,7 +124,8 @@ def stay_cohort(
     """
     subj = subject_table(patients, diagnoses, subject_extra)
     known = ("subject_id", "dob", "gender", *CODE_COUNT_COLUMNS)
-    joined = salted_join(stay_table(admissions, icu_stays), subj, "subject_id", "hadm_id")
+    hot = hot_subjects(admissions, icu_stays, rows_per_task)
+    joined = spread_join(stay_table(admissions, icu_stays), subj, "subject_id", hot, rows_per_task)
     return joined.select(
         "subject_id",
         "hadm_id",

@@ -181,6 +181,8 @@ WHERE s.los IS NOT NULL AND a.admittime IS NOT NULL AND p.dob IS NOT NULL
 
 SUBJECT_FEATURES = f"WITH {ROLE_CTES}, {MEASURE_CTES} SELECT * FROM mc"
 
+BUCKETED_FEATURES = f"WITH {ROLE_CTES}, {MEASURE_CTES} SELECT mc.*, {COUNT_NAMES} FROM mc JOIN counts ON mc.subject_id = counts.subject_id"
+
 MULTI_MEASURE_SELECT = f"""
 ch AS (
   SELECT subject_id,
@@ -508,6 +510,7 @@ ORACLE: dict[str, str] = {
     "one_hot_vocabulary": ONE_HOT_VOCABULARY,
     "split_exact": SPLIT_EXACT,
     "merged_state": MERGED_STATE,
+    "bucketed_features": BUCKETED_FEATURES,
     "csv_rescue": CSV_RESCUE,
     "stay_features": STAY_FEATURES,
     "subject_features": SUBJECT_FEATURES,

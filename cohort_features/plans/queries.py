@@ -48,6 +48,7 @@ from cohort_features.operators import state as state_ops
 from cohort_features.operators import tuning as tuning_ops
 from cohort_features.plans import driver
 from cohort_features.session import scratch_path
+from cohort_features.sources import layout as layout_ops
 from cohort_features.sources import rescue as rescue_ops
 from cohort_features.sources.readers import ingest_csv, read_csv, read_features, write_features
 
@@ -641,6 +642,16 @@ def merged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state_ops.measures_of_state(state_ops.merge_states(states, comps), STATE_CATALOGUE)
 
 
+def bucketed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three event roles stored in buckets of the subject
+    (subjects of over 20,000 events beside them), then all measures and chapter
+    counts of every subject without another shuffle."""
+    cat, tables = driver.DRIVER_CATALOGUE, driver.clinical_tables(spark, sf_dir)
+    sources = {s: tables[s] for s in cat.sources()}
+    stored = layout_ops.write_by_subject(sources, scratch_path(spark, "by-subject"), buckets=16, rows_per_task=20_000)
+    return stored.per_subject(lambda t: measure_ops.subject_measures(t, cat, complete=True, code_source="labs"))
+
+
 def csv_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts written as CSV and read with numeric types; the fields
     that have no value of their type, per column."""
@@ -737,6 +748,7 @@ QUERIES: dict[str, Query] = {
     "one_hot_vocabulary": one_hot_vocabulary,
     "split_exact": split_exact_q,
     "merged_state": merged_state,
+    "bucketed_features": bucketed_features,
     "csv_rescue": csv_rescue,
     "app_classifier": app_classifier,
     "app_regressor": app_regressor,

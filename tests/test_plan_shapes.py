@@ -74,7 +74,7 @@ def test_flagship_joins_lines_with_orders_once(no_broadcast):
     # once for labs and diagnoses together (with its order), once for the stays
     lines = [r for r in reads if "l_orderkey" in r]
     assert len(lines) == 2 and sum("l_partkey" in r for r in lines) == 1
-    assert (shuffles, scans) == (10, 7)
+    assert (shuffles, scans) == (9, 7)
 
 
 def test_stays_meet_admissions_on_narrow_rows(no_broadcast):
