@@ -127,3 +127,11 @@ def test_staged_classifier_scores_equal_fitting_every_point(spark):
     for r in slow:
         assert fast[r["model"], r["metric"]] == pytest.approx(r["value"], abs=1e-12)
     assert fast["best", "maxDepth"] in (2, 4) and fast["best", "maxIter"] in (1, 3, 5)
+
+
+def test_grid_search_leaves_no_table_in_memory(spark):
+    train, test = _vectors(spark)
+    train = train.repartition(6).localCheckpoint()
+    before = spark._jsparkSession.sharedState().cacheManager().numCachedEntries()
+    tuning.cross_validate_rounds(spark, "regression", [2], [1], train, test, "y", folds=2, fold_key="id")
+    assert spark._jsparkSession.sharedState().cacheManager().numCachedEntries() == before
