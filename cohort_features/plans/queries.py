@@ -436,10 +436,11 @@ def metric_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _training_sets(spark: SparkSession, sf_dir: str, task: str) -> tuple[DataFrame, DataFrame]:
     """Feature vectors of the stay table, split 70/30 by a hash of the
     subject; persisted (memory, then executors' disks; recomputed if lost)
-    until ``_done``."""
+    until ``_done``. The training side has as many partitions as its rows need."""
     feats = stay_features(spark, sf_dir)
     vec = feature_ops.feature_vectors(feats, task, driver.DRIVER_CATALOGUE, keep=("subject_id",))
     train, test = feature_ops.split_by_key(vec.persist(StorageLevel.MEMORY_AND_DISK), "subject_id", 70)
+    train = tuning_ops.training_rows(train)
     train.vectors = vec
     return train, test
 

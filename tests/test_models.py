@@ -129,6 +129,21 @@ def test_staged_classifier_scores_equal_fitting_every_point(spark):
     assert fast["best", "maxDepth"] in (2, 4) and fast["best", "maxIter"] in (1, 3, 5)
 
 
+def test_training_side_has_the_partitions_its_rows_need(spark, monkeypatch):
+    from cohort_features.plans import queries
+
+    rows = [(i, i % 40, float(i % 7), float(i % 2)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, subject_id long, x double, expire_flag double").repartition(20)
+    vec = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    monkeypatch.setattr(queries, "stay_features", lambda spark, sf_dir: df)
+    monkeypatch.setattr(queries.feature_ops, "feature_vectors", lambda *args, **kw: vec)
+    monkeypatch.setattr(tuning, "TASK_ROWS", 100)
+    train, test = queries._training_sets(spark, "", "classification")
+    assert train.rdd.getNumPartitions() == -(-train.count() // 100) < 20
+    assert train.count() + test.count() == 400
+    queries._done(train, None)
+
+
 def test_grid_search_leaves_no_table_in_memory(spark):
     train, test = _vectors(spark)
     train = train.repartition(6).localCheckpoint()
