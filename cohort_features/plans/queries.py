@@ -562,7 +562,7 @@ def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     est = model_ops.classifier("gbt", "expire_flag", 0)
     grid = {"maxDepth": [3, 5], "maxIter": [5, 10]}
     out = model_ops.cross_validate(
-        spark, est, grid, train, test, "classification", "expire_flag", folds=3, fold_key="subject_id"
+        spark, est, grid, train, test, "classification", "expire_flag", folds=3, fold_key="subject_id", staged=True
     )
     return _done(train, out)
 

@@ -144,6 +144,14 @@ def test_training_side_has_the_partitions_its_rows_need(spark, monkeypatch):
     queries._done(train, None)
 
 
+def test_staged_grid_equals_every_fit(spark):
+    train, test = _vectors(spark)
+    est = models.classifier("gbt", "label", 4, stepSize=0.3)
+    args = spark, est, {"maxDepth": [2, 3], "maxIter": [2, 4]}, train, test, "classification", "label", 2, 42, 4, "id"
+    rows = [{(r["model"], r["metric"]): r["value"] for r in models.cross_validate(*args, staged=staged).collect()} for staged in (True, False)]
+    assert rows[0].keys() == rows[1].keys() and all(abs(rows[0][k] - v) < 1e-12 for k, v in rows[1].items())
+
+
 def test_grid_search_leaves_no_table_in_memory(spark):
     train, test = _vectors(spark)
     train = train.repartition(6).localCheckpoint()
