@@ -9,6 +9,7 @@ given scale with fixed seeds and entity-whole splits.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -539,15 +540,17 @@ def logistic_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both deployed models (mortality: GBT classifier, depth 13, 30
     rounds; length of stay: GBT regressor, depth 6, 30 rounds), saved and
-    reloaded, score every held-out stay."""
+    reloaded, score every held-out stay. The two fits run side by side."""
     feats = stay_features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     train, test = feature_ops.split_by_key(feats, "subject_id", 70)
-    scored = test
-    for task, est, out in (
+    train, scored = tuning_ops.training_rows(train), test
+    tasks = (
         ("classification", model_ops.classifier("gbt", "expire_flag", 0, **model_ops.APP_CLASSIFIER_PARAMS), "mortality"),
         ("regression", model_ops.regressor("gbt", "los", **model_ops.APP_REGRESSOR_PARAMS), "stay_days"),
-    ):
-        model = scoring_ops.reloaded(scoring_ops.fit_pipeline(train, _vector_cols(task), est), scratch_path(spark, "pipeline"))
+    )
+    fits = [functools.partial(scoring_ops.fit_pipeline, train, _vector_cols(task), est) for task, est, _ in tasks]
+    for (_, _, out), fitted in zip(tasks, tuning_ops.side_by_side(spark, fits), strict=True):
+        model = scoring_ops.reloaded(fitted, scratch_path(spark, "pipeline"))
         scored = scoring_ops.score_batch(model, scored, [c for c in scored.columns]).withColumnRenamed("prediction", out)
     feats.unpersist()
     return scored.select("subject_id", "hadm_id", "mortality", "stay_days")

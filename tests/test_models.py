@@ -158,3 +158,24 @@ def test_grid_search_leaves_no_table_in_memory(spark):
     before = spark._jsparkSession.sharedState().cacheManager().numCachedEntries()
     tuning.cross_validate_rounds(spark, "regression", [2], [1], train, test, "y", folds=2, fold_key="id")
     assert spark._jsparkSession.sharedState().cacheManager().numCachedEntries() == before
+
+
+def test_both_deployed_models_learn_side_by_side_from_few_partitions(spark, monkeypatch):
+    from cohort_features.plans import queries
+
+    class Stop(Exception):
+        pass
+
+    seen = []
+    df = spark.createDataFrame([(i, i) for i in range(400)], "subject_id long, hadm_id long").repartition(20)
+    monkeypatch.setattr(queries, "stay_features", lambda spark, sf_dir: df)
+    monkeypatch.setattr(queries.scoring_ops, "fit_pipeline", lambda train, cols, est: seen.append(train.rdd.getNumPartitions()))
+
+    def stop(*args):
+        raise Stop
+
+    monkeypatch.setattr(queries.scoring_ops, "reloaded", stop)
+    with pytest.raises(Stop):
+        queries.score_batch(spark, "")
+    df.unpersist()
+    assert seen == [1, 1]
