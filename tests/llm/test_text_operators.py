@@ -90,6 +90,19 @@ def test_most_similar_lines_meet(spark):
     assert len(near) > 100 and sum(k in got for k in near) >= 0.9 * len(near)
 
 
+def test_no_near_line_is_left_out(spark):
+    """Short lines with one word replaced, which share few SimHash blocks."""
+    rng, rows = random.Random(31), []
+    for i in range(400):
+        words = [f"w{rng.randrange(10**6):x}x" for _ in range(rng.randrange(5, 9))]
+        other = list(words)
+        other[rng.randrange(len(other))] = f"e{i}y"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["keep_doc_id"] for r in lines.duplicate_lines(docs, complete=True).collect()}
+    assert got == {i: i // 2 * 2 for i, _ in rows}
+
+
 def test_tables_grow_with_the_lines():
     for n in (0, 1, 7_000, 10**6, 2_200_000, 10**8, 10**10, 10**13):
         seeds, blocks, bits = lines.tables(n)
