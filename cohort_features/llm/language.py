@@ -21,7 +21,7 @@ counted whole; other columns are not read.
 
 from __future__ import annotations
 
-import re
+import functools
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -37,17 +37,24 @@ SMOOTH = 0.5
 ROUNDS = 25
 OVERLAP = 3.0  # neighbouring trigrams share letters, so each counts a third
 UNKNOWN = "und"
-#: word characters that are neither letters nor decimal digits: fractions, circled numbers and the like
-NUMERALS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{re.escape(NUMERALS)}]+")
+
+
+@functools.cache
+def _letters() -> np.ndarray:
+    """Per code point: whether it is a letter (no digit, other numeral or underscore)."""
+    return np.fromiter((c.isalpha() for c in map(chr, range(0x110000))), bool, 0x110000)
 
 
 def trigrams(text: str | None) -> np.ndarray:
     """Cells of the text's letter trigrams, in order; empty without letters."""
-    words = LETTERS.findall((text or "").lower())
-    if not words:
+    c = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    letter = np.zeros(len(c) + 2, dtype=bool)  # a gap before and after the text
+    letter[1:-1] = _letters()[c]
+    if not letter.any():
         return np.zeros(0, dtype=np.int64)
-    c = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+    spaced = np.full(len(letter), 32, dtype=np.uint64)
+    np.copyto(spaced[1:-1], c, where=letter[1:-1])
+    c = spaced[np.r_[True, letter[1:] | letter[:-1]]]  # of each run of gaps the first
     return (mix((c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]) & np.uint64(CELLS - 1)).astype(np.int64)
 
 

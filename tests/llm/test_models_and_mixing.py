@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from cohort_features.llm import language, mixing, pii, quality
 from cohort_features.llm.common import documents
+from cohort_features.llm.words import mix
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import stored
 
@@ -102,6 +104,36 @@ def test_mixture_proportions():
     assert alone.tolist() == [0, 1, 0, 0]
 
 
+def test_trigrams_are_those_of_letters_at_little_cost():
+    def plain(text):
+        words, word = [], ""
+        for c in (text or "").lower() + " ":
+            if c.isalpha():
+                word += c
+            elif word:
+                words, word = [*words, word], ""
+        return [ord(c) for c in f" {' '.join(words)} "] if words else []
+
+    rng = random.Random(7)
+    pool = [*"aAbZ .,_-019²½①ÄßİéЖ中\n\t", "\u0301", "\ud800", "\U0001d7d8", "\U00010400", "\U00020000"]
+    texts = [None, "", "a", " a", "a ", *("".join(rng.choices(pool, k=rng.randrange(14))) for _ in range(500))]
+    for text in texts:
+        c = np.array(plain(text), dtype=np.uint64)
+        want = mix((c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]) & np.uint64(language.CELLS - 1) if len(c) else c
+        assert language.trigrams(text).tolist() == want.tolist(), text
+
+    def seconds(fn):
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            fn()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    text = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(5000))
+    assert seconds(lambda: language.trigrams(text)) < 15 * seconds(lambda: re.findall(r"\w+", text.lower()))
+
+
 def test_language_of_edge_rows(edge, empty):
     got = defaultdict(list)
     for r in language.identify(edge).collect():
