@@ -13,6 +13,8 @@ import numpy as np
 import pytest
 
 from cohort_features.llm import lines, packing, sketch, substring, whole_lines
+from cohort_features.llm.common import numbered, store
+from cohort_features.llm.links import components
 from tests.llm import brute
 from tests.llm.conftest import edited, stored, words
 
@@ -230,6 +232,32 @@ def test_prefixes_of_similar_lines_meet():
             assert whole_lines._may_link(sign[0], sign[1], lines.SIMILARITY)
 
 
+@pytest.mark.parametrize("together,screened", [(1, 3), (7, 3), (1 << 15, 256)])
+def test_buckets_of_repeated_keys(spark, monkeypatch, together, screened):
+    monkeypatch.setattr(whole_lines, "TOGETHER", together)
+    monkeypatch.setattr(whole_lines, "SCREENED", screened)
+    rng = random.Random(33)
+    sign = {i: rng.choice([0, 1, 3, (1 << 40) - 1]) for i in range(60)}  # lines of ten words: two edits flip four parities
+    some = [(rng.randrange(12) ** 2, rng.randrange(60)) for _ in range(400)]
+    rows = [(k, i, sign[i], 10 << 48) for k, i in some]
+    found = whole_lines.likely_buckets(spark.createDataFrame(rows, "key long, id long, sign0 long, sign1 long"), lines.SIMILARITY)
+    got = [(r["key"], r["id"]) for r in found.collect()]
+    near = {(k, i) for k, i in some for m, j in some if k == m and i != j and (sign[i] ^ sign[j]).bit_count() <= 4}
+    assert len(got) == len(set(got)) and near <= set(got) <= set(some) and (screened < 256 or set(got) == near)
+
+
+def test_keys_are_shuffled_once_and_not_stored(spark):
+    rng = random.Random(34)
+    table = stored(spark, [(i, " ".join(words(rng, 12, 40)), "en", "s", 0) for i in range(50)])
+    rows = numbered(table, "doc_id", "text")
+    written = []
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(whole_lines, "store", lambda df, name: written.append((name, df)) or store(df, name))
+        whole_lines.with_missed(rows, lines.line_table(rows, 1).select("rid", "doc_id", "line_no", "id"), components(spark.createDataFrame([], "u long, v long")), 1, lines.SIMILARITY)
+    name, first = written[0]
+    assert name == "members" and first._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_whole_lines_of_edge_rows(edge, empty):
     plain, whole = (f(edge).collect() for f in (lines.duplicate_lines, whole_lines.all_duplicate_lines))
     assert Counter(plain) == Counter(whole)
