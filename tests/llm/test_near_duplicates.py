@@ -137,6 +137,22 @@ def test_connect_finds_links_that_miss_the_leader(spark, monkeypatch):
     assert got == {0: 0, 7: 0, 1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 4}
 
 
+def test_connect_does_not_test_what_is_known(spark):
+    values = {0: 5, 1: 5, 2: 6, 3: 40, 4: 41, 5: 80}
+    comp = {0: 0, 1: 0, 2: 0, 3: 3, 4: 4, 5: 0}
+    members = [(1, 0, i, comp[i]) for i in values if i < 3] + [(2, 1, i, comp[i]) for i in (2, 3, 4)]
+    members = store(spark.createDataFrame(members, "key long, band int, id long, comp long"), "m")
+    payload = store(spark.createDataFrame([(i, str(v).encode()) for i, v in values.items()], "id long, payload binary"), "p")
+    known = store(spark.createDataFrame([(i, c) for i, c in comp.items() if i < 3 or i == 5], "id long, comp long"), "k")
+    asked = []
+    with pytest.MonkeyPatch.context() as m:
+        real = links._tested
+        m.setattr(links, "_tested", lambda rows, *rest: asked.append({(r["batch"], r["id"]) for r in rows.filter("role = 1").collect()}) or real(rows, *rest))
+        got = {r["id"]: r["comp"] for r in links.connect(members, payload, Near(), known).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 5: 0, 3: 3, 4: 3}
+    assert asked[0] == {(2, 3), (2, 4)}  # nothing of the bucket that is one component already
+
+
 def test_exact_duplicates_match_a_dictionary(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     groups = defaultdict(list)

@@ -14,7 +14,7 @@ import pytest
 
 from cohort_features.llm import lines, packing, sketch, substring, whole_lines
 from cohort_features.llm.common import numbered, store
-from cohort_features.llm.links import components
+from cohort_features.llm.links import components, connect
 from tests.llm import brute
 from tests.llm.conftest import edited, stored, words
 
@@ -258,6 +258,78 @@ def test_keys_are_shuffled_once_and_not_stored(spark):
     assert name == "members" and first._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
 
 
+def test_keys_are_dealt_over_the_passes(spark):
+    rng = random.Random(35)
+    table = stored(spark, [(i, " ".join(words(rng, 12, 40)), "en", "s", 0) for i in range(50)])
+    levels = np.zeros(whole_lines.BINS, dtype=np.uint8)
+
+    def keys(*part):
+        return Counter((r["key"], r["id"]) for r in whole_lines.line_keys(table, 1, levels, lines.SIMILARITY, *part).collect())
+
+    parts = [keys(p, whole_lines.PASSES) for p in range(whole_lines.PASSES)]
+    every = keys()
+    assert sum(parts, Counter()) == every and max(len(p) for p in parts) < 0.7 * len(every)
+
+
+def test_a_bucket_falls_into_sets_of_near_lines(spark):
+    sign = {1: 0, 2: 1, 3: 3, 10: (1 << 40) - 1, 11: (1 << 41) - 1, 20: ((1 << 20) - 1) << 41}  # lines of ten words: two edits flip four parities
+    rows = [(7, i, s, 10 << 48) for i, s in sign.items()]
+    found = whole_lines.likely_buckets(spark.createDataFrame(rows, "key long, id long, sign0 long, sign1 long"), lines.SIMILARITY)
+    sets = {}
+    for r in found.collect():
+        sets.setdefault(r["set"], set()).add(r["id"])
+    assert sorted(map(sorted, sets.values())) == [[1, 2, 3], [10, 11]]
+
+
+def test_word_signs_keep_similar_lines_and_part_long_unlike_ones():
+    rng = random.Random(36)
+
+    def sign(w):
+        return whole_lines.word_sign(whole_lines.mix(whole_lines._flat([w])[0] ^ whole_lines.STEP))
+
+    near = 0
+    for _ in range(300):
+        a = words(rng, rng.randrange(4, 140), 30)
+        b = reworded(rng, a, rng.randrange(1, 14))
+        if lines.similar(a, b):
+            near += 1
+            assert whole_lines.near_pairs(np.zeros(2, np.int64), [sign(a), sign(b)], lines.SIMILARITY)[0].tolist() == [0]
+    assert near > 100
+    held = [sign(words(rng, rng.randrange(190, 200), 10**6)) for _ in range(40)]  # 112 parities tell hardly any apart
+    assert not len(whole_lines.near_pairs(np.zeros(40, np.int64), held, lines.SIMILARITY)[0])
+
+
+def test_long_unlike_lines_that_share_word_pairs_are_not_read(spark, monkeypatch):
+    """Lines of 120 words with some rare pairs in common; few of them are near."""
+    rng = random.Random(37)
+    texts = []
+    for _ in range(3):
+        pairs = words(rng, 12, 10**6)
+        for _ in range(12):
+            w = words(rng, 108, 10**6)
+            at = rng.randrange(100)
+            texts.append(w[:at] + pairs + w[at:])
+    texts += [reworded(rng, texts[5], 6), reworded(rng, texts[20], 6)]
+    table = stored(spark, [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)])
+    seen = []
+    monkeypatch.setattr(whole_lines, "connect", lambda m, *rest: seen.append({r["id"] for r in m.collect()}) or connect(m, *rest))
+    got = {(r["doc_id"], r["keep_doc_id"]) for r in whole_lines.all_duplicate_lines(table).collect()}
+    assert got == {(5, 5), (36, 5), (20, 20), (37, 20)} and len(seen[0]) == 4
+
+
+@pytest.mark.parametrize("sieved", [2, 2048])
+def test_every_line_is_found_where_buckets_are_not_sieved(spark, monkeypatch, sieved):
+    monkeypatch.setattr(whole_lines, "SIEVED", sieved)
+    rng = random.Random(38)
+    texts = []
+    for _ in range(30):
+        w = words(rng, rng.randrange(6, 60), 60)
+        texts += [w, *(reworded(rng, w, rng.randrange(1, max(2, len(w) // 5 + 1))) for _ in range(rng.randrange(3)))]
+    rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate(texts)]
+    got = {(r["doc_id"], r["line_no"]): (r["keep_doc_id"], r["keep_line_no"]) for r in whole_lines.all_duplicate_lines(stored(spark, rows)).collect()}
+    assert got == plain_similar_groups([r[:2] for r in rows]) and len(got) > 10
+
+
 def test_whole_lines_of_edge_rows(edge, empty):
     plain, whole = (f(edge).collect() for f in (lines.duplicate_lines, whole_lines.all_duplicate_lines))
     assert Counter(plain) == Counter(whole)
