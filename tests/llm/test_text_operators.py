@@ -379,6 +379,50 @@ def test_passages_of_51_words_are_found_and_nothing_else(spark):
         assert r["keep_doc_ids"] == [r["doc_id"] // 2 * 2]
         assert r["removed_words"] == (r["n_words"] if r["doc_id"] % 2 else 0)
 
+def test_texts_cut_together_as_one_by_one():
+    texts = ["", "a", "a b", " \n ", None, "é b c d e\x85 f g " * 40, " ".join(f"w{k * k % 97}" for k in range(3000)), "q" * 40_000 + " t", "x y z w v u t s"]
+    h, counts = substring.word_hashes_of(texts)
+    alone = [substring.word_hashes(t) for t in texts]
+    assert counts.tolist() == [len(x) for x in alone] and h.tolist() == np.concatenate(alone).tolist()
+    begin = np.cumsum(counts) - counts
+    at = substring.starts_of(h, counts=counts)
+    assert at.tolist() == [a + b for x, b in zip(alone, begin.tolist(), strict=True) for a in substring.starts_of(x).tolist()]
+    ids, low = substring.paragraph_hashes(h, at)
+    parts = [substring.paragraph_hashes(x, substring.starts_of(x)) for x in alone if len(x)]
+    assert ids.tolist() == np.concatenate([p[0] for p in parts]).tolist() and low.tolist() == np.concatenate([p[1] for p in parts], axis=1).tolist()
+
+
+def test_paragraphs_worth_a_test_are_few_and_complete():
+    """Of 3000 paragraphs with one common shingle, those alike are offered, and
+    hardly others."""
+    rng, matcher = np.random.default_rng(5), substring.ParagraphMatcher(80)
+    kinds = [rng.integers(1, 1 << 63, size=n, dtype=np.uint64) for n in rng.integers(1, 25, size=500)]
+    items = []
+    for k in range(3000):
+        x = kinds[k % 500].copy()
+        x[rng.integers(len(x), size=k // 500 % 3)] = rng.integers(1, 1 << 63, dtype=np.uint64)
+        items.append((np.array([7, k % 3, k % 2], dtype=np.uint64), np.unique(np.append(x, np.uint64(0)))))
+    stacked, offered = matcher.stack(items), 0
+    for one in items[::20]:
+        for band in range(3):
+            want = {k for k, x in enumerate(items) if matcher.link(x, one) and not (x[0][:band] == one[0][:band]).any()}
+            got = matcher.screen(stacked, one, band)
+            assert want <= set(got) and len(set(got)) == len(got)
+            offered += len(got)
+    assert offered < 150 * 3 * 40
+
+
+def test_passage_shuffles_grow_with_the_texts(spark, tmp_path, monkeypatch):
+    """No join of the search is a broadcast at a small size and a shuffle at a large one."""
+    def counted(*_, **__):
+        raise AssertionError("a join that changes with the size")
+
+    monkeypatch.setattr(substring, "join_small", counted)
+    passage = " ".join(f"p{k}" for k in range(60))
+    docs = spark.createDataFrame([(k, f"{' '.join(f'd{k}x{j}' for j in range(30))} {passage} {' '.join(f'e{k}x{j}' for j in range(30))}") for k in range(4)], "doc_id long, text string")
+    found = substring.repeated_passages(docs).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["n_words"]) for r in found) == [(k, 30, 60) for k in range(4)]
+
 
 def test_removed_words_follow_a_plain_version(docs):
     """Paragraphs compared pair by pair, groups by union, runs by a loop."""
