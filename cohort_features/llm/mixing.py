@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohort_features.llm.common import drop, join_small, numbered, store
+from cohort_features.llm.common import drop, few_rows, join_small, numbered, store
 
 LEVELS = ("domain", "lang", "source")
 MAX_EPOCHS = 4
@@ -139,7 +139,7 @@ def mix(
     for leaf, n in leaves.items():
         whole, rest = divmod(given[leaf], n) if n else (1, 0)
         plan.append((list(leaf), int(whole), int(rest)))
-    planned = spark.createDataFrame(plan, "mix_leaf array<string>, whole int, rest long")
+    planned = few_rows(spark, plan, "mix_leaf array<string>, whole int, rest long")
 
     def order(epoch: Column) -> Column:
         return F.xxhash64(F.lit(seed), epoch, F.col("mix_key"))

@@ -196,3 +196,26 @@ def test_with_group_hot_keys(spark, monkeypatch):
     table = store(spark.createDataFrame([(k, i) for i, k in enumerate([1] * 10 + [2] * 2 + [3])], "k long, x long"), "t")
     got = common.with_group(table, "k", [F.max("x").alias("m")]).collect()
     assert sorted((r["k"], r["x"], r["m"]) for r in got) == sorted((k, i, {1: 9, 2: 11, 3: 12}[k]) for i, k in enumerate([1] * 10 + [2] * 2 + [3]))
+
+
+def test_few_rows_travel_as_arrow(spark, monkeypatch):
+    """Rows given as a list are made by Python workers of their own."""
+    import pyarrow as pa
+
+    from cohort_features.llm import common, mixing
+
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
+    table = store(spark.createDataFrame([(1, i) for i in range(10)], "k long, x long"), "t")
+    docs = store(spark.createDataFrame([(i, f"a b {i}", "en", "web") for i in range(20)], "doc_id long, text string, lang string, source string"), "docs")
+    made, create = [], type(spark).createDataFrame
+
+    def seen(self, data, *args, **kwargs):
+        made.append(type(data))
+        return create(self, data, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "createDataFrame", seen)
+    first = common.with_group(table, "k", [F.min(F.struct("x", "k")).alias("first")]).collect()
+    assert sorted((r["x"], r["first"]["x"], r["first"]["k"]) for r in first) == [(i, 0, 1) for i in range(10)]
+    assert mixing.mix(docs).count() >= 20
+    assert len(made) >= 2 and set(made) == {pa.Table}
+    assert common.few_rows(spark, [], "a array<string>, n int").collect() == []

@@ -379,6 +379,14 @@ def test_passages_of_51_words_are_found_and_nothing_else(spark):
         assert r["keep_doc_ids"] == [r["doc_id"] // 2 * 2]
         assert r["removed_words"] == (r["n_words"] if r["doc_id"] % 2 else 0)
 
+def test_lines_are_cut_once(spark):
+    docs = stored(spark, [(1, "a b\nc d"), (2, "e f")], "doc_id long, text string")
+    gone = spark.createDataFrame([(r["rid"], 1, False) for r in numbered(docs, "doc_id").filter("doc_id = 1").collect()], "rid long, line_no long, kept boolean")
+    out = lines.cleaned(docs, gone)
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a b"), (2, "e f")]
+
+
 def test_texts_cut_together_as_one_by_one():
     texts = ["", "a", "a b", " \n ", None, "é b c d e\x85 f g " * 40, " ".join(f"w{k * k % 97}" for k in range(3000)), "q" * 40_000 + " t", "x y z w v u t s"]
     h, counts = substring.word_hashes_of(texts)
