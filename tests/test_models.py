@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+import numpy as np
 import pytest
+import pickle
 import random
 import os
 
 from pyspark.sql import functions as F
 
-from cohort_features.operators import tuning
+from cohort_features.operators import boosting, tuning
 from cohort_features.operators import metrics, models, scoring
 
 
@@ -179,3 +181,85 @@ def test_both_deployed_models_learn_side_by_side_from_few_partitions(spark, monk
         queries.score_batch(spark, "")
     df.unpersist()
     assert seen == [1, 1]
+
+
+def _stays(spark, n=600, parts=4, seed=3):
+    """Subjects of three stays with the same features, labels of their own."""
+    rng = random.Random(seed)
+    x = [[rng.random(), rng.random(), float(rng.randrange(5)), 0.0] for _ in range(n // 3 + 1)]
+    rows = [(i // 3, *x[i // 3], 3 * x[i // 3][0] + x[i // 3][1] ** 2 + x[i // 3][2] + rng.gauss(0, 1)) for i in range(n)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, y double").repartition(parts, "id")
+    vec = VectorAssembler(inputCols=["a", "b", "c", "d"], outputCol="features").transform(df)
+    return vec.filter("id % 4 <> 0"), vec.filter("id % 4 = 0")
+
+
+def _grid(spark, train, test, depths, rounds, folds=3, **kw):
+    found = tuning.cross_validate_rounds(spark, "regression", depths, rounds, train, test, "y", folds=folds, fold_key="id", **kw).collect()
+    return {(r["model"], r["metric"]): r["value"] for r in found}
+
+
+def test_regression_grid_takes_a_job_per_level_for_all_fits(spark):
+    train, test = _stays(spark)
+    sc = spark.sparkContext
+    sc.setJobGroup("grid-jobs", "")
+    try:
+        _grid(spark, train, test, [2, 4], [3, 6], folds=5)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(sc.statusTracker().getJobIdsForGroup("grid-jobs"))
+    assert 6 <= jobs <= 6 * 4 + 30  # ten fits one by one: 6 rounds of 2 or 4 levels each, 180 jobs
+
+
+@pytest.mark.parametrize("near", [0, 1 << 30])
+@pytest.mark.parametrize("size", [50_000, 40])
+def test_regression_grid_equals_every_fit_on_merged_and_single_rows(spark, monkeypatch, size, near):
+    train, test = _stays(spark, n=2400)  # nodes large enough that no two features split one alike
+    monkeypatch.setattr(boosting, "ROWS", size)
+    monkeypatch.setattr(boosting, "NEAR", near)
+    fast = _grid(spark, train, test, [2, 3], [2, 5])
+    args = spark, models.regressor("gbt", "y"), {"maxDepth": [2, 3], "maxIter": [2, 5]}, train, test, "regression", "y"
+    for r in models.cross_validate(*args, folds=3, fold_key="id").collect():
+        assert fast[r["model"], r["metric"]] == pytest.approx(r["value"], abs=1e-9)
+
+
+def test_rows_of_a_key_with_the_same_bins_become_one(spark, monkeypatch):
+    train, _ = _stays(spark)
+    cuts = [np.array([0.5]), np.array([0.5]), np.array([1.5]), np.empty(0)]
+    held = train.withColumn("_fold", F.lit(0))
+    kept = {m: [pickle.loads(r["block"]) for r in boosting.blocks(held, "y", "features", "id", {-1: cuts}, m).collect()] for m in (True, False)}
+    n, s = ({m: np.concatenate([b[i] for b in blocks]) for m, blocks in kept.items()} for i in (2, 3))
+    assert len(n[False]) == train.count() and len(n[True]) == train.select("id").distinct().count()
+    assert n[True].sum() == len(n[False]) and s[True].sum() == pytest.approx(s[False].sum())
+
+
+def test_split_candidates_come_from_the_sample_of_a_single_fit(spark):
+    train, _ = _stays(spark, n=16_400)
+    est = tuning.estimator("regression", "y", 4, 4, 42)
+    model = est.fit(train)
+    cuts = boosting.candidates(train, "features", train.count(), boosting.rules(est, train, "y"))
+
+    def splits(node):
+        if node.numDescendants():
+            yield node.split().featureIndex(), node.split().threshold()
+            yield from splits(node.leftChild())
+            yield from splits(node.rightChild())
+
+    found = [s for t in model.trees for s in splits(t._call_java("rootNode"))]
+    assert train.count() > 10_000 and len(found) > 20
+    assert all(any(threshold == c for c in cuts[f]) for f, threshold in found)
+
+
+def test_other_estimators_keep_their_own_fits(spark):
+    train, _ = _stays(spark, n=30)
+    assert boosting.rules(models.regressor("gbt", "y"), train, "y")
+    for est in (models.regressor("gbt", "y", subsamplingRate=0.5), models.regressor("gbt", "y", lossType="absolute"), models.regressor("gbt", "y", weightCol="a"),
+                models.regressor("gbt", "z"), models.regressor("random_forest", "y"), models.classifier("gbt", "y", 0)):
+        assert boosting.rules(est, train, "y") is None
+
+
+@pytest.mark.parametrize("bad", [None, float("nan"), float("inf")])
+def test_regression_grid_refuses_labels_that_are_no_numbers(spark, bad):
+    train, test = _stays(spark, n=60)
+    train = train.withColumn("y", F.when(F.col("id") == 1, F.lit(bad).cast("double")).otherwise(F.col("y")))
+    with pytest.raises(Exception, match="labels must not be"):
+        _grid(spark, train, test, [2], [1])
